@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Mapping, Sequence
+from collections.abc import Callable, Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -47,12 +47,20 @@ def rename_lower(df: DataFrame, renames: Mapping[str, str] | None = None) -> Dat
     return renamed.toDF(*[c.lower() for c in renamed.columns])
 
 
-def compute(df: DataFrame, exprs: Mapping[str, str | Column] | None) -> DataFrame:
-    """Set columns from SQL text or column expressions; a new name adds a column.
+def compute(
+    df: DataFrame, exprs: Mapping[str, str | Column | Callable[[Column], Column]] | None
+) -> DataFrame:
+    """Set columns from SQL text, from expressions, or from functions of their own value.
 
-    Every expression sees the columns as they were before the call.
+    A new name adds a column. Every expression sees the columns as they were before.
     """
-    cols = {n: F.expr(e) if isinstance(e, str) else e for n, e in (exprs or {}).items()}
+
+    def column(name: str, e) -> Column:
+        if isinstance(e, str):
+            return F.expr(e)
+        return e if isinstance(e, Column) else e(F.col(name))
+
+    cols = {n: column(n, e) for n, e in (exprs or {}).items()}
     return df.withColumns(cols) if cols else df
 
 
@@ -75,9 +83,10 @@ def latest_per_key(
 
 
 def row_order(df: DataFrame, skip: Sequence[str] = ()) -> list[Column]:
-    """Descending order over all sortable columns: the tie-break when nothing better exists."""
-    return [
-        F.col(f"`{f.name}`").desc_nulls_last()
+    """A hash of the row: the tie-break that keeps a choice the same when it is made again."""
+    plain = [
+        F.col(f"`{f.name}`")
         for f in df.schema.fields
         if f.name not in skip and not isinstance(f.dataType, T.MapType | T.VariantType)
     ]
+    return [F.xxhash64(*plain)] if plain else []
