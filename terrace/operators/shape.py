@@ -19,7 +19,8 @@ def flatten_json(
     """Parse the JSON column and lay its fields out as columns, followed by ``meta``.
 
     A malformed record becomes all nulls, a bad field only itself. With ``corrupt_col``
-    the text of malformed records is kept in that column.
+    the text of malformed records is kept in that column. The record is laid out by a
+    generator, through which later filters do not move: each text is parsed once.
     """
     options = {}
     if corrupt_col:
@@ -27,7 +28,7 @@ def flatten_json(
         options = {"columnNameOfCorruptRecord": corrupt_col}
     data = F.from_json(F.col(value_col), schema, options)
     extra = [c.alias(name) for name, c in (meta or {}).items()]
-    return df.withColumn("_data", data).select("_data.*", *extra)
+    return df.select(F.inline(F.array(data)), *extra)
 
 
 def pick_columns(df: DataFrame, schema: T.StructType) -> DataFrame:
