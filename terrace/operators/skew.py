@@ -156,11 +156,11 @@ def neighbours(
     return both.select(*df.columns, *added, "_copy").filter(~F.col("_copy")).drop("_copy")
 
 
-def is_small(df: DataFrame) -> bool:
-    """Whether Spark's own estimate of ``df`` is within its broadcast threshold."""
-    limit = df.sparkSession._jsparkSession.sessionState().conf().autoBroadcastJoinThreshold()
+def is_small(df: DataFrame, limit: int | None = None) -> bool:
+    """Whether Spark's own estimate of ``df`` is within ``limit`` (the broadcast threshold)."""
+    conf = df.sparkSession._jsparkSession.sessionState().conf()
     estimate = df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()
-    return int(str(estimate)) <= limit
+    return int(str(estimate)) <= (conf.autoBroadcastJoinThreshold() if limit is None else limit)
 
 
 def lookup(

@@ -23,7 +23,7 @@ from terrace.operators.shape import (
     rename_lower,
     with_keys,
 )
-from terrace.queries.base import query, table
+from terrace.queries.base import query, spread, table
 from terrace.sources.pages import cell, html_rows
 from terrace.sources.payloads import payload_records
 from terrace.sources.schedule import nth_row, pick_rounds
@@ -179,7 +179,7 @@ def payload_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
     race = F.struct(F.col("l_orderkey").alias("id"), records.alias("Results"))
     payload = F.to_json(F.struct(F.struct(F.array(race).alias("Races")).alias("RaceTable")))
-    payloads = table(spark, sf_dir, "lineitem").select("l_orderkey", "l_returnflag", payload.alias("payload"))
+    payloads = spread(spark, sf_dir, "lineitem").select("l_orderkey", "l_returnflag", payload.alias("payload"))
     rows = payload_records(
         payloads,
         "payload",
@@ -208,7 +208,7 @@ def html_records(spark: SparkSession, sf_dir: str) -> DataFrame:
     html = F.regexp_replace("html", item, r'<tr><td data-key="$1"> <a>$2</a></td></tr>')
     html = F.replace(html, F.lit("<ul>"), F.lit('<table class="datatable wide"><tbody>'))
     html = F.replace(html, F.lit("</ul>"), F.lit("</tbody></table>"))
-    pages = table(spark, sf_dir, "pages").select("page_id", html.alias("html"))
+    pages = spread(spark, sf_dir, "pages").select("page_id", html.alias("html"))
     rows = html_rows(pages, "html", "datatable", ["page_id"])
     return rows.select("page_id", "row", cell(0, "attr:data-key").alias("href"), cell(0, "link").alias("link"))
 
