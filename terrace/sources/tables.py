@@ -1,7 +1,7 @@
 """Tables: plain folders of files, and snapshot tables that can be merged into.
 
 A snapshot table keeps every partition in the version folder that last wrote it
-(``v=7/season=2024``); one small ``_current`` file lists which version of which
+(``_v=7/season=2024``); one small ``_current`` file lists which version of which
 partition counts. A write adds files beside the old ones and then swaps that file, so
 readers always see a whole state, a lost executor or a failed job changes nothing, and
 only the touched partitions are written again. One writer per table at a time.
@@ -20,7 +20,7 @@ from pyspark.sql import types as T
 from terrace.sources.places import exists, leaf_dirs, read_text, swap_text
 
 CURRENT = "_current"
-VERSION = "v"
+VERSION = "_v"
 NULL_PARTITION = "__HIVE_DEFAULT_PARTITION__"
 # Fixed value: characters Spark escapes in partition folder names.
 ESCAPED = re.compile(r"""[\x01-\x1f\x7f"#%'*/:=?\\{\[\]^]""")

@@ -1,0 +1,195 @@
+import random
+
+import pytest
+from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
+
+from terrace.operators.shape import (
+    compute,
+    flatten_json,
+    latest_per_key,
+    pick_columns,
+    rename_lower,
+    with_keys,
+)
+from terrace.operators.skew import group_values, hot_groups, lookup, neighbours
+from terrace.operators.star import add_unknown
+from terrace.operators.temporal import asof_join, fill_gaps, range_join, valid_to
+from terrace.plans.reports import sector_times
+
+
+def skewed(spark, n=600, seed=1):
+    """A third of the rows under one key, a few without key, unique order values."""
+    rng = random.Random(seed)
+    order = rng.sample(range(n * 10), n)
+    keys = [1 if i % 3 == 0 else (None if i % 50 == 1 else rng.randrange(2, 40)) for i in range(n)]
+    data = [(keys[i], order[i], rng.randrange(100) if i % 7 else None) for i in range(n)]
+    return spark.createDataFrame(data, "k int, o int, v int"), data
+
+
+@pytest.mark.parametrize("piece_rows", [10**6, 50, 7])
+def test_neighbours_of_hot_groups(spark, rows, piece_rows):
+    df, data = skewed(spark)
+    got = neighbours(df, ["k"], "o", {"prev": "v"}, {"next": "v"}, piece_rows)
+    want = []
+    for key in {d[0] for d in data}:
+        group = sorted((d for d in data if d[0] == key), key=lambda d: d[1])
+        for i, (k, o, v) in enumerate(group):
+            prev = group[i - 1][2] if i else None
+            want.append((k, o, v, prev, group[i + 1][2] if i + 1 < len(group) else None))
+    assert sorted(rows(got), key=str) == sorted(want, key=str)
+
+
+@pytest.mark.parametrize("piece_rows", [10**6, 50])
+def test_group_values_of_hot_groups(spark, rows, piece_rows):
+    df, data = skewed(spark)
+    got = group_values(df, ["k"], {"top": ("max", "v"), "n": ("count", "o")}, piece_rows)
+    top = {k: max((v for a, _, v in data if a == k and v is not None), default=None) for k, _, _ in data}
+    n = {k: sum(a == k for a, _, _ in data) for k, _, _ in data}
+    assert sorted(rows(got), key=str) == sorted([(*d, top[d[0]], n[d[0]]) for d in data], key=str)
+
+
+def test_only_hot_groups_are_reported(spark):
+    df, _ = skewed(spark)
+    assert hot_groups(df, ["k"], piece_rows=10**6) is None
+    assert [r.k for r in hot_groups(df, ["k"], piece_rows=100).collect()] == [1]
+
+
+@pytest.mark.parametrize("how", ["left", "inner"])
+def test_lookup_with_hot_groups(spark, rows, how):
+    df, data = skewed(spark)
+    table = {k: k * 10 for k in range(0, 30)}
+    dim = spark.createDataFrame(list(table.items()), "k int, w int")
+    limit = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        got = rows(lookup(df, dim, ["k"], how, piece_rows=50))
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", limit)
+    want = [(*d, table.get(d[0])) for d in data if how == "left" or d[0] in table]
+    assert sorted(got, key=str) == sorted(want, key=str)
+
+
+def test_latest_per_key_limits_groups_before_the_shuffle(spark, rows, capsys):
+    df, data = skewed(spark)
+    got = latest_per_key(df, ["k"], [F.desc("o")])
+    best = {}
+    for d in data:
+        best[d[0]] = max(best.get(d[0], d), d, key=lambda x: x[1])
+    assert sorted(rows(got), key=str) == sorted(best.values(), key=str)
+    got.explain()
+    plan = capsys.readouterr().out
+    assert plan.index("WindowGroupLimit") < plan.rindex("Exchange")
+    assert "Partial" in plan
+
+
+def windows_and_samples(spark, seed, overlap):
+    rng = random.Random(seed)
+    windows, samples = [], []
+    for key in (1, 1, 1, 2, 3):
+        t = rng.randrange(5)
+        for _ in range(40):
+            length = rng.choice([1, 3, 10, 200 if overlap else 2])
+            windows.append((key, len(windows), float(t), float(t + length)))
+            t += rng.choice([1, 4]) if overlap else length + rng.choice([0, 2])
+    if not overlap:
+        seen = set()
+        windows = [w for w in windows if not (w[0], w[2]) in seen and not seen.add((w[0], w[2]))]
+        windows = [w for w in windows if w[0] != 1 or w[1] < 40]
+    for i in range(500):
+        samples.append((1 if i % 3 else rng.choice([2, 3, 4, None]), i, rng.randrange(0, 600) / 2 if i % 20 else None))
+    return (
+        spark.createDataFrame(windows, "k int, w int, s double, e double"),
+        spark.createDataFrame(samples, "k int, i int, t double"),
+        windows,
+        samples,
+    )
+
+
+@pytest.mark.parametrize("how", ["left", "inner"])
+@pytest.mark.parametrize("width", [None, 1.0, 50.0])
+def test_range_join_with_overlaps(spark, rows, how, width):
+    right, left, windows, samples = windows_and_samples(spark, 3, overlap=True)
+    got = range_join(left, right, ["k"], "t", "s", "e", how, width)
+    want = []
+    for k, i, t in samples:
+        hits = [(w, s, e) for a, w, s, e in windows if a == k and t is not None and s <= t < e]
+        want += [(k, i, t, *h) for h in hits or ([(None, None, None)] if how == "left" else [])]
+    assert sorted(rows(got), key=str) == sorted(want, key=str)
+
+
+@pytest.mark.parametrize("piece_rows", [10**6, 60, 9])
+@pytest.mark.parametrize("how", ["left", "inner"])
+def test_asof_join_equals_range_join(spark, rows, how, piece_rows):
+    right, left, _, _ = windows_and_samples(spark, 5, overlap=False)
+    a = rows(range_join(left, right, ["k"], "t", "s", "e", how))
+    b = rows(asof_join(left, right, ["k"], "t", "s", "e", how, piece_rows))
+    assert sorted(a, key=str) == sorted(b, key=str)
+
+
+def test_a_window_without_end_and_an_empty_right_side(spark, rows):
+    left = spark.createDataFrame([(1, 5.0)], "k int, t double")
+    right = spark.createDataFrame([(1, 7, 2.0)], "k int, w int, s double")
+    assert rows(asof_join(left, right, ["k"], "t", "s")) == [(1, 5.0, 7, 2.0)]
+    none = right.filter("w < 0").withColumn("e", F.col("s"))
+    assert rows(asof_join(left, none, ["k"], "t", "s", "e")) == [(1, 5.0, None, None, None)]
+    assert rows(range_join(left, none, ["k"], "t", "s", "e")) == [(1, 5.0, None, None, None)]
+
+
+def test_gap_fill_from_neighbours(spark, rows):
+    laps = spark.createDataFrame(
+        [(1, None, 10.0, 10.0), (2, 10.0, None, 10.0), (3, None, None, None)],
+        "lap int, s double, e double, n double",
+    ).withColumn("driver", F.lit("VER"))
+    got = fill_gaps(laps, ["driver"], "lap", "s", "e", "n")
+    assert rows(got, "lap", "s", "e", "is_s_estimated", "is_e_estimated") == [
+        (1, 0.0, 10.0, True, False),
+        (2, 10.0, 20.0, False, True),
+        (3, None, None, False, False),
+    ]
+
+
+def test_sample_falls_into_the_lap_that_holds_it(spark, rows):
+    laps = spark.createDataFrame([(1, 2, 0.0, 9.0), (1, 3, 10.0, 20.0)], "k int, lap int, s double, e double")
+    windows = valid_to(laps, ["k"], "lap", "s", "e").drop("e")
+    samples = spark.createDataFrame([(1, 15.0), (1, 9.5), (1, 20.0)], "k int, t double")
+    assert rows(range_join(samples, windows, ["k"], "t", "s", "valid_to"), "t", "lap") == [
+        (9.5, 2),
+        (15.0, 3),
+        (20.0, None),
+    ]
+
+
+def test_records_parse_to_nulls_when_broken(spark, rows):
+    schema = StructType.fromDDL("a int, b struct<c: string>")
+    texts = [('{"a": 1, "b": {"c": "x"}}',), ('{"a": "no", "b": {"c": "y"}}',), ("junk",), (None,)]
+    df = spark.createDataFrame(texts, "kafka_value string")
+    flat = flatten_json(df, schema, meta={"tag": F.lit(7)})
+    assert flat.columns == ["a", "b", "tag"]
+    assert rows(flat.select("a", "b.c", "tag")) == [(1, "x", 7), (None, "y", 7), (None, None, 7), (None, None, 7)]
+    kept = flatten_json(df, schema, corrupt_col="_bad").filter("_bad IS NOT NULL")
+    assert {r._bad for r in kept.collect()} >= {"junk"}
+
+
+def test_columns_picked_renamed_computed_and_keyed(spark, rows):
+    df = spark.createDataFrame([("1", 2.0), (None, float("nan"))], "driverId string, Laps double")
+    picked = pick_columns(df, StructType.fromDDL("driverId string, Laps double, Extra int"))
+    named = rename_lower(picked, {"driverId": "driver_id", "absent": "x"})
+    assert named.columns == ["driver_id", "laps", "extra"]
+    done = compute(named, {"laps": "try_cast(laps AS int)", "twice": lambda _: F.lit(2)} | {"twice": F.lit(2)})
+    assert rows(done, "laps", "twice") == [(2, 2), (None, 2)]
+    assert with_keys(done, ["driver_id"]).count() == 1
+
+
+def test_unknown_member(spark, rows):
+    df = spark.createDataFrame([(44, "verstappen", 2024)], "k bigint, name string, season int")
+    assert rows(add_unknown(df, "k")) == [(-1, "UNKNOWN", None), (44, "verstappen", 2024)]
+
+
+def test_sector_times(spark, rows):
+    laps = spark.createDataFrame(
+        [(1, 44, 2, 90.0, 30.0, 30.0, 30.0), (1, 1, 1, 91.0, 1.0, 2.0, 3.0)],
+        "session_key int, permanent_number int, lap_number int, lap_time double, "
+        "sector_1_time double, sector_2_time double, sector_3_time double",
+    )
+    assert rows(sector_times(laps, 1, 44)) == [(2, 90.0, 30.0, 30.0, 30.0)]
