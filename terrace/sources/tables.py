@@ -92,7 +92,11 @@ def write_snapshot(
     spark, parts = df.sparkSession, list(partition_by)
     snap = snap or Snapshot(df.schema, parts)
     version = snap.version + 1
-    writer = df.select(*snap.schema.names).write.mode("overwrite")
+    rows = df.select(*snap.schema.names)
+    if parts and spark.conf.get("spark.sql.adaptive.enabled") == "true":
+        # Few files per partition, and a hot partition split over tasks, by runtime sizes.
+        rows = rows.hint("rebalance", *parts)
+    writer = rows.write.mode("overwrite")
     (writer.partitionBy(*parts) if parts else writer).parquet(f"{path}/{VERSION}={version}")
     written = leaf_dirs(spark, f"{path}/{VERSION}={version}", len(parts)) if parts else [""]
     kept = {} if replaced is None else {p: v for p, v in snap.partitions.items() if p not in replaced}

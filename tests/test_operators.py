@@ -193,3 +193,35 @@ def test_sector_times(spark, rows):
         "sector_1_time double, sector_2_time double, sector_3_time double",
     )
     assert rows(sector_times(laps, 1, 44)) == [(2, 90.0, 30.0, 30.0, 30.0)]
+
+
+def test_a_hot_time_bin_is_split_by_the_skew_join(spark, rows):
+    """Most samples in one bin of one key: the join reads that bin with several tasks."""
+    settings = {
+        "spark.sql.autoBroadcastJoinThreshold": "-1",
+        "spark.sql.adaptive.autoBroadcastJoinThreshold": "-1",
+        "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "20KB",
+        "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "2",
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": "10KB",
+        "spark.sql.shuffle.partitions": "8",
+    }
+    before = {k: spark.conf.get(k, None) for k in settings}
+    for k, v in settings.items():
+        spark.conf.set(k, v)
+    try:
+        i = F.col("id")
+        samples = spark.range(0, 60_000, 1, 6).select(
+            F.when(i % 10 < 9, 1).otherwise(i % 97).alias("k"),
+            F.when(i % 10 < 9, 5.0).otherwise(i % 400 / 4).alias("t"),
+            F.sha2(i.cast("string"), 256).alias("text"),
+        )
+        windows = spark.range(0, 97 * 10, 1, 4).select(
+            (i % 97).alias("k"), (F.floor(i / 97) * 10.0).alias("s"), (F.floor(i / 97) * 10.0 + 10).alias("e")
+        )
+        got = range_join(samples, windows, ["k"], "t", "s", "e", width=16.0)
+        found = got.agg(F.count("s"), F.count(F.lit(1)), F.count_if(F.expr("s <= t AND t < e")))
+        assert tuple(found.collect()[0]) == (60_000, 60_000, 60_000)
+        assert "skew=true" in found._jdf.queryExecution().executedPlan().toString()
+    finally:
+        for k, v in before.items():
+            spark.conf.unset(k) if v is None else spark.conf.set(k, v)
