@@ -29,7 +29,9 @@ def lap_trace(
     return telemetry.filter(lap).orderBy("session_time").select(*columns)
 
 
-def sector_times(laps: DataFrame, session_key: int, permanent_number: int) -> DataFrame:
+def sector_times(
+    laps: DataFrame, session_key: int, permanent_number: int | Column
+) -> DataFrame:
     """Sector times of every lap of one driver in one session."""
     mine = (F.col("session_key") == session_key) & (F.col("permanent_number") == permanent_number)
     return (

@@ -13,13 +13,14 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE: dict[str, str] = {}
 
 
-def query(sql: str | None = None):
-    """Register a function under its own name, with its SQL."""
+def query(sql: str | None = None, name: str | None = None):
+    """Register a function under ``name`` or its own name, with its SQL."""
 
     def register(fn: Callable[[SparkSession, str], DataFrame]):
-        QUERIES[fn.__name__] = fn
+        key = name or fn.__name__
+        QUERIES[key] = fn
         if sql:
-            ORACLE[fn.__name__] = sql
+            ORACLE[key] = sql
         return fn
 
     return register

@@ -34,7 +34,8 @@ from terrace.sources.schedule import nth_row, pick_rounds
 SELECT user_id, event_type, event_id, value FROM (
   SELECT *, row_number() OVER (PARTITION BY user_id, event_type ORDER BY ts DESC, event_id DESC) AS rn
   FROM events) WHERE rn = 1
-"""
+""",
+    name="latest_per_key",
 )
 def latest_row(spark: SparkSession, sf_dir: str) -> DataFrame:
     events = table(spark, sf_dir, "events").select("user_id", "event_type", "event_id", "value", "ts")
@@ -168,7 +169,8 @@ SELECT l_orderkey AS order_id, CAST(n AS INTEGER) AS number, round(l_quantity *
        l_shipmode AS source
 FROM (SELECT l_orderkey, l_quantity, l_returnflag AS l_shipmode, unnest(range(1, l_linenumber + 1)) AS n
       FROM lineitem)
-"""
+""",
+    name="payload_records",
 )
 def payload_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Records inside API payloads, one payload per line item, tagged with their source."""
@@ -251,7 +253,8 @@ SELECT o_orderkey, 'r' || year(o_orderdate) || '_' || month(o_orderdate) || '_R'
          ELSE CAST(CAST(o_orderdate AS DATE) AS TIMESTAMP) + to_hours(o_custkey % 24) - INTERVAL 2 HOUR END,
          '%Y-%m-%d %H:%M:%S') AS started
 FROM orders
-"""
+""",
+    name="race_timestamp",
 )
 def race_start(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Date and nullable time text, with and without an offset, to one timestamp."""

@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from terrace.operators.skew import group_values
 from terrace.operators.temporal import asof_join, fill_gaps, range_join, valid_to
 from terrace.plans.reports import lap_trace as trace_of
+from terrace.plans.reports import sector_times as sectors_of
 from terrace.plans.reports import stint_panel as panel_of
 from terrace.plans.reports import weather_at_laps as weather_of
 from terrace.queries.base import query, stamp, table
@@ -236,6 +237,30 @@ def stint_panel(spark: SparkSession, sf_dir: str) -> DataFrame:
     return panel_of(laps, ["season", "compound", "fresh_tyre"])
 
 
+@query(
+    """
+SELECT l_linenumber AS lap_number, l_quantity AS lap_time, l_discount AS sector_1_time, l_tax AS sector_2_time,
+       l_extendedprice AS sector_3_time
+FROM lineitem
+WHERE l_suppkey = 1 AND l_partkey = (SELECT max(l_partkey) FROM lineitem WHERE l_suppkey = 1)
+"""
+)
+def sector_times(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Lap and sector times of one driver (the last part) in one session (the supplier)."""
+    lines = table(spark, sf_dir, "lineitem")
+    laps = lines.select(
+        F.col("l_suppkey").alias("session_key"),
+        F.col("l_partkey").alias("permanent_number"),
+        F.col("l_linenumber").alias("lap_number"),
+        F.col("l_quantity").alias("lap_time"),
+        F.col("l_discount").alias("sector_1_time"),
+        F.col("l_tax").alias("sector_2_time"),
+        F.col("l_extendedprice").alias("sector_3_time"),
+    )
+    driver = lines.filter("l_suppkey = 1").agg(F.max("l_partkey")).scalar()
+    return sectors_of(laps, 1, driver)
+
+
 @query(
     _LAPS
     + """

@@ -10,6 +10,8 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 ENVELOPE = "key string, value string, timestamp timestamp"
+# Fixed value: offsets per micro-batch of a broker topic, unless the caller says otherwise.
+OFFSETS_PER_TRIGGER = 50_000
 
 
 def read_topic(
@@ -26,8 +28,8 @@ def read_topic(
     """
     reader = (spark.readStream if stream else spark.read).format(fmt).options(**(options or {}))
     if fmt == "kafka":
-        if per_trigger and stream:
-            reader = reader.option("maxOffsetsPerTrigger", per_trigger)
+        if stream:
+            reader = reader.option("maxOffsetsPerTrigger", per_trigger or OFFSETS_PER_TRIGGER)
         return reader.option("subscribe", topic).option("startingOffsets", "earliest").load()
     if per_trigger and stream:
         reader = reader.option("maxFilesPerTrigger", per_trigger)

@@ -83,3 +83,22 @@ def test_the_shared_folder_is_the_one_the_session_names(spark):
     place = spark.conf.get("spark.checkpoint.dir")
     assert shared_dir(spark) == place
     assert new_dir(spark, "x").startswith(place)
+
+
+def test_gold_goes_to_the_serving_database_table_by_table(spark, rows, monkeypatch):
+    """No database is started here: what is handed to the JDBC refresh is checked."""
+    from terrace.plans import layers as module
+
+    layers = Layers.under(new_dir(spark, "layers"))
+    df = spark.createDataFrame([(1, "a")], "id int, name string")
+    specs = [spec(name, layer="gold") for name in ("DIM_A", "DIM_B")]
+    for s in specs:
+        module.write_overwrite(df, layers.path("gold", s.name))
+    loaded = []
+    monkeypatch.setattr(
+        module, "refresh_jdbc", lambda d, url, table, *rest: loaded.append((url, table, rows(d)))
+    )
+    module.load_gold(spark, layers, specs, "jdbc:x")
+    assert loaded == [("jdbc:x", "dim_a", [(1, "a")]), ("jdbc:x", "dim_b", [(1, "a")])]
+    with pytest.raises(ValueError, match="DIM_C"):
+        module.load_gold(spark, layers, specs, "jdbc:x", only={"DIM_C"})
