@@ -15,6 +15,7 @@ from collections.abc import Sequence
 from dataclasses import dataclass, field
 
 from pyspark.sql import DataFrame, Row, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from terrace.sources.places import exists, leaf_dirs, read_text, swap_text
@@ -68,7 +69,8 @@ def read_snapshot(
     """The current rows, or those of the partitions named in ``only``."""
     parts = {p: v for p, v in snap.partitions.items() if only is None or p in only}
     if not parts:
-        return spark.createDataFrame([], snap.schema)
+        nothing = [F.lit(None).cast(f.dataType).alias(f.name) for f in snap.schema.fields]
+        return spark.range(0).select(nothing)
     full = T.StructType([*snap.schema.fields, T.StructField(VERSION, T.LongType())])
     folders = [f"{path}/{VERSION}={v}/{p}".rstrip("/") for p, v in sorted(parts.items())]
     return (
