@@ -40,12 +40,14 @@ def join_hot(df: DataFrame, hot: DataFrame, keys: Sequence[str], how: str) -> Da
 
 
 def _axis(c: Column, data_type: str) -> Column:
-    """A number that rises with ``c``."""
+    """A number that rises with ``c``; a constant when the type has none (text)."""
     if data_type == "date":
         return F.unix_date(c).cast("double")
     if data_type.startswith("timestamp"):
         return F.unix_micros(c.cast("timestamp")).cast("double")
-    return c.cast("double")
+    if data_type.startswith(("tinyint", "smallint", "int", "bigint", "float", "double", "decimal")):
+        return c.cast("double")
+    return F.lit(0.0)
 
 
 def axis_of(df: DataFrame, column: str) -> Column:
@@ -73,10 +75,10 @@ def hot_ranges(
 
 def cut(df: DataFrame, keys: Sequence[str], order: str, ranges: DataFrame) -> DataFrame:
     """Add the piece number: rises with ``order`` inside a hot group, null in other groups."""
-    at = F.when(
-        F.col("_step") > 0, F.floor((axis_of(df, order) - F.col("_lo")) / F.col("_step"))
-    ).otherwise(0)
-    at = F.greatest(F.least(F.coalesce(at, F.lit(0)), F.col("_pieces") - 1), F.lit(0))
+    last = F.col("_pieces") - 1
+    steps = F.try_divide(axis_of(df, order) - F.col("_lo"), F.col("_step"))
+    at = F.when(F.isnan(steps), last).otherwise(F.floor(steps))  # NaN sorts last
+    at = F.greatest(F.least(F.coalesce(at, F.lit(0)), last), F.lit(0))
     return (
         join_hot(df, ranges, keys, "left")
         .withColumn(PIECE, F.when(F.col("_lo").isNotNull(), at))

@@ -94,7 +94,6 @@ def append_overwrite(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Overwrite a partitioned plain table, then append to it."""
     orders = table(spark, sf_dir, "orders")
     path = new_dir(spark, "append")
-    write_append(orders.limit(0), path, "overwrite")
     write_append(orders, path, "overwrite", ["o_orderpriority"])
     write_append(orders.filter("o_orderstatus = 'O'"), path, "append", ["o_orderpriority"])
     return (

@@ -40,6 +40,24 @@ def test_neighbours_of_hot_groups(spark, rows, piece_rows):
     assert sorted(rows(got), key=str) == sorted(want, key=str)
 
 
+@pytest.mark.parametrize("kind", ["string", "date", "decimal(9,2)", "double", "timestamp"])
+def test_neighbours_by_any_order_type(spark, rows, kind):
+    """Numbers and times are cut, text is left whole, NaN and null have their place."""
+    i = F.col("id")
+    order = {
+        "string": i.cast("string"),
+        "date": F.date_from_unix_date(i.cast("int")),
+        "decimal(9,2)": (i / 4).cast("decimal(9,2)"),
+        "double": F.when(i == 7, F.lit(float("nan"))).otherwise(i * -1.5),
+        "timestamp": F.timestamp_micros(i * 7),
+    }[kind]
+    order = F.when(i != 3, order)
+    df = spark.range(200).select((i % 3).alias("k"), order.alias("o"), i.alias("v"))
+    whole = neighbours(df, ["k"], "o", {"p": "v"}, {"n": "v"})
+    cut = neighbours(df, ["k"], "o", {"p": "v"}, {"n": "v"}, piece_rows=9)
+    assert sorted(rows(cut, "v", "p", "n"), key=str) == sorted(rows(whole, "v", "p", "n"), key=str)
+
+
 @pytest.mark.parametrize("piece_rows", [10**6, 50])
 def test_group_values_of_hot_groups(spark, rows, piece_rows):
     df, data = skewed(spark)
