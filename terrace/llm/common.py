@@ -138,3 +138,18 @@ def components(edges: DataFrame, name: str) -> DataFrame:
             least.select("a", F.col("m").alias("b"))
         )
         edges = keep(small.filter("a <> b").distinct(), name)
+
+
+SMALL_BYTES = 32 << 20
+
+
+def small(df: DataFrame, limit: int = SMALL_BYTES) -> DataFrame:
+    """``df``, a kept table, marked for broadcast if its measured size is within ``limit``;
+    otherwise as it is, for a shuffled join."""
+    row = df.agg(
+        F.count("*").alias("n"),
+        *[F.sum(F.octet_length(F.col(c).cast("string"))).alias(f"_{i}") for i, c in enumerate(df.columns)],
+    ).collect()[0]
+    width = 16 * (len(df.columns) + 2)
+    size = row["n"] * width + sum(v or 0 for v in row[1:])
+    return F.broadcast(df) if size <= limit else df

@@ -6,31 +6,60 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from terrace.llm import embed, sharding, simhash
+from terrace.llm import decontam, embed, mixing, secrets, sharding, simhash, warc
 from terrace.llm.common import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE: dict[str, str] = {}
 
 
-def query(fn: Callable[[SparkSession, str], DataFrame]):
-    QUERIES[fn.__name__] = fn
-    return fn
+def query(sql: str | None = None):
+    def register(fn: Callable[[SparkSession, str], DataFrame]):
+        QUERIES[fn.__name__] = fn
+        if sql:
+            ORACLE[fn.__name__] = sql
+        return fn
 
+    return register
 
-@query
+
+@query()
 def op1_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Fingerprint and near-duplicate component of every document."""
     return simhash.near_duplicates(table(spark, sf_dir, "documents"))
 
 
-@query
+@query()
 def op3_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Shard and slot of every document."""
     return sharding.assign(table(spark, sf_dir, "documents")).drop("row_key")
 
 
-@query
+@query()
 def op4_embeddings(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Links and component of every embedding."""
     return embed.near_vectors(table(spark, sf_dir, "embeddings"))
+
+
+@query(decontam.SQL)
+def op2_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Benchmark words and items in every document."""
+    return decontam.contamination(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
+@query(secrets.SQL)
+def op5_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Secrets in every document."""
+    return secrets.secrets(table(spark, sf_dir, "documents"))
+
+
+@query(mixing.SQL)
+def op8_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every use of a document in the mixture."""
+    return mixing.mixture(table(spark, sf_dir, "documents"))
+
+
+@query(warc.SQL)
+def op9_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every page written to a WARC archive and read back."""
+    return warc.round_trip(table(spark, sf_dir, "pages"))
