@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from terrace.llm import decontam, embed, mixing, secrets, sharding, simhash, warc
+from terrace.llm import decontam, embed, langid, mixing, secrets, sharding, simhash, toxicity, warc
 from terrace.llm.common import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -63,3 +63,15 @@ def op8_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op9_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every page written to a WARC archive and read back."""
     return warc.round_trip(table(spark, sf_dir, "pages"))
+
+
+@query()
+def op6_language(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Predicted language of every document."""
+    return langid.identify(table(spark, sf_dir, "documents"))
+
+
+@query()
+def op7_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Toxicity score of every document."""
+    return toxicity.score(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
