@@ -45,49 +45,56 @@ def by_batch(df: DataFrame, fn: Callable, schema: str) -> DataFrame:
     return df.mapInArrow(run, schema)
 
 
-def by_runs(df: DataFrame, keys: Sequence[str], fn: Callable, schema: str) -> DataFrame:
+def by_runs(
+    df: DataFrame,
+    keys: Sequence[str],
+    fn: Callable,
+    schema: str,
+    limit: int | None = None,
+    over: Callable | None = None,
+) -> DataFrame:
     """Apply ``fn`` to blocks of whole runs of equal ``keys`` in a frame that is partitioned
-    and sorted by them. A task holds one Arrow batch and one run at a time."""
+    and sorted by them. A task holds one Arrow batch and one run at a time; a run that goes
+    on over batches and passes ``limit`` rows is not held, its pieces go to ``over``."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held: list[pa.RecordBatch] = []
+        held: list[pa.RecordBatch] = []  # the run that the last batch ended with
+        last_key, passing = None, False
+
+        def out(call: Callable, some: list[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            if sum(b.num_rows for b in some):
+                for columns in call(pa.Table.from_batches(some)):
+                    yield pa.RecordBatch.from_pydict(columns)
+
         for batch in batches:
             if not batch.num_rows:
                 continue
-            same = np.zeros(batch.num_rows, dtype=bool)
-            same[1:] = True
+            fresh = np.zeros(batch.num_rows, dtype=bool)
             for k in keys:
                 c = batch.column(k).to_numpy(zero_copy_only=False)
-                same[1:] &= c[1:] == c[:-1]
-            starts = np.flatnonzero(~same)
-            goes_on = bool(held) and all(
-                held[-1].column(k)[-1].as_py() == batch.column(k)[0].as_py() for k in keys
-            )
-            first = 0 if not goes_on else (int(starts[1]) if len(starts) > 1 else None)
-            if first is None:
-                held.append(batch)
+                fresh[1:] |= c[1:] != c[:-1]
+            first_key = tuple(batch.column(k)[0].as_py() for k in keys)
+            fresh[0] = first_key != last_key
+            starts = np.flatnonzero(fresh)
+            last_key = tuple(batch.column(k)[-1].as_py() for k in keys)
+            end_of_old = int(starts[0]) if len(starts) else batch.num_rows
+            if end_of_old:
+                held.append(batch.slice(0, end_of_old))
+            if limit and sum(b.num_rows for b in held) > limit or passing:
+                passing = True
+                yield from out(over, held)
+                held = []
+            if not len(starts):
                 continue
-            if first:
-                held.append(batch.slice(0, first))
-            if held:
-                for columns in fn(pa.Table.from_batches(held)):
-                    yield pa.RecordBatch.from_pydict(columns)
-            last = int(starts[-1])
-            if last > first:
-                for columns in fn(pa.Table.from_batches([batch.slice(first, last - first)])):
-                    yield pa.RecordBatch.from_pydict(columns)
+            yield from out(fn, held)
+            passing, last = False, int(starts[-1])
+            yield from out(fn, [batch.slice(end_of_old, last - end_of_old)])
             held = [batch.slice(last)]
-        if held:
-            for columns in fn(pa.Table.from_batches(held)):
-                yield pa.RecordBatch.from_pydict(columns)
+        yield from out(over if passing else fn, held)
 
     return df.mapInArrow(run, schema)
 
 
-def bytes_of(column: pa.Array) -> list[bytes | None]:
-    return column.to_pylist()
-
-
 def ranked(df: DataFrame, order: Sequence[str], name: str) -> DataFrame:
     """``df`` with ``rank``: the place of each row (from 0) in the order of ``order`` over
     the whole frame. Rows are dealt by range, so no task holds more than its share; only

@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from terrace.llm import decontam, embed, langid, mixing, secrets, sharding, simhash, toxicity, warc
+from terrace.llm import decontam, embed, langid, mixing, secrets, sharding, simhash, suffix, toxicity, warc
 from terrace.llm.common import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -75,3 +75,9 @@ def op6_language(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op7_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Toxicity score of every document."""
     return toxicity.score(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
+@query()
+def op10_suffix(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What is left of every document without repeated bytes."""
+    return suffix.without_repeats(table(spark, sf_dir, "documents"))

@@ -168,6 +168,12 @@ def _run_links(hot_run: int):
     return links
 
 
+def _hot_rows(rows: pa.Table) -> Iterator[dict]:
+    """Rows of one run that is too long to hold."""
+    fps = rows.column("fp").combine_chunks()
+    yield {"a": fps, "b": fps, "tab": rows.column("tab").combine_chunks()}
+
+
 def _midpoints(batch: pa.RecordBatch) -> Iterator[dict]:
     """Points within two bits of each fingerprint, on the segments that its table leaves free."""
     tab, fps = batch.column("tab").to_numpy(), batch.column("a").to_numpy().view(np.uint64)
@@ -185,7 +191,7 @@ def fingerprint_links(fps: DataFrame, hot_run: int = HOT_RUN) -> DataFrame:
     among the distinct fingerprints ``fps (fp)``."""
     rows = by_batch(fps, _table_rows, "key long, tab int, fp long")
     dealt = rows.repartition(parts(fps.sparkSession), "key").sortWithinPartitions("key", "fp")
-    found = keep(by_runs(dealt, ["key"], _run_links(hot_run), "a long, b long, tab int"), "simhash-links")
+    found = keep(by_runs(dealt, ["key"], _run_links(hot_run), "a long, b long, tab int", hot_run, _hot_rows), "simhash-links")
     near = by_batch(found.filter("tab IS NOT NULL"), _midpoints, "tab int, mid long, fp long")
     first = near.groupBy("tab", "mid").agg(F.min("fp").alias("b"))
     far = near.join(first, ["tab", "mid"]).filter("fp <> b").select(F.col("fp").alias("a"), "b")
