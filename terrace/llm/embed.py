@@ -107,7 +107,7 @@ def _cell_links(cosine: float):
             kind = "<f4" if run.column("wide")[0].as_py() == 4 else "<f8"
             unit = _unit(np.array([np.frombuffer(b, kind) for b in run.column("vector").to_pylist()]))
             code = np.array([np.frombuffer(b, np.uint32) for b in run.column("codes").to_pylist()])
-            mixed = home.min() != home.max()  # two blocks: only pairs across
+            mixed = run.column("other")[0].as_py() != home[0]  # two blocks: only pairs across
             ii, jj = [], []
             for s in range(0, len(cid), 512):
                 near = unit[s : s + 512] @ unit.T >= cosine

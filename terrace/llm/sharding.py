@@ -3,8 +3,8 @@
 Rows are shuffled by a seeded hash within their source and ranked there; the rank divided
 by the size of the source is a row's fractional rank. In the order of fractional ranks
 every stretch holds each source in proportion, so cutting that order into equal stretches
-gives shards whose counts differ by at most one and whose mixture is that of the corpus to
-within one row per source.
+gives shards whose counts differ by at most one and whose mixture is that of the corpus: a
+source with the share ``p`` among ``S`` sources is off by at most ``1 + p S`` rows a shard.
 
 Both rankings deal rows by range, so a source with a third of all rows is spread over all
 tasks. Only ids, sizes and hashes are ranked; texts stay where they are.

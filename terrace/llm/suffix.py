@@ -377,7 +377,8 @@ def _hot_windows(rows: pa.Table) -> Iterator[dict]:
             for k in range(max(0, SPAN - int(rlen[r])), min(LEFT, int(llen[r])) + 1):
                 at.append(r)
                 start.append(int(place[r]) - k)
-                digest.append(hashlib.md5(text[LEFT - k : LEFT - k + SPAN]).digest())
+                # With its place in the window, so that two anchors of one window differ.
+                digest.append(hashlib.md5(k.to_bytes(2, "little") + text[LEFT - k : LEFT - k + SPAN]).digest())
         at, start = np.array(at, dtype=np.int64), np.array(start, dtype=np.int64)
         pair = np.frombuffer(b"".join(digest), dtype="<i8").reshape(-1, 2)
         yield {
