@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 from terrace.sources.tables import (
     partition_folder,
     read_snapshot,
+    require_columns,
     snapshot_of,
     write_snapshot,
 )
@@ -52,21 +53,24 @@ def write_merge(
     keys: Sequence[str],
     partition_by: Sequence[str] = (),
     newer_by: str | None = None,
-    batch: tuple[str, int] | None = None,
+    batch: tuple[str, str, int] | None = None,
 ) -> None:
     """Upsert: rows with the same keys (and partition) are replaced, others are added.
 
     ``df`` has one row per key. Only partitions that ``df`` touches are read and written
-    again. With ``newer_by`` a stored row that is newer than its update stays. ``batch``
-    (stream name, number) makes a repeated batch a no-op.
+    again. With ``newer_by`` a stored row that is newer than its update stays; no time is
+    older than any. ``batch`` (stream, its run, number) makes a repeated batch of the run a
+    no-op; a new run starts over.
     """
     spark = df.sparkSession
     snap = snapshot_of(spark, path)
     if snap is None:
         write_snapshot(df, path, None, partition_by, batch=batch)
         return
-    if batch and snap.batches.get(batch[0], -1) >= batch[1]:
+    run, number = snap.batches.get(batch[0], (None, -1)) if batch else (None, -1)
+    if batch and run == batch[1] and number >= batch[2]:
         return
+    require_columns(df, snap, path)
     on = list(dict.fromkeys([*keys, *partition_by]))
     df = df.persist()
     try:
@@ -77,7 +81,10 @@ def write_merge(
             stale = (
                 target.select(*on, newer_by).alias("a")
                 .join(df.select(*on, newer_by).alias("b"), _same("a", "b", on))
-                .filter(F.col(f"a.{newer_by}") > F.col(f"b.{newer_by}"))
+                .filter(
+                    (F.col(f"a.{newer_by}") > F.col(f"b.{newer_by}"))
+                    | (F.col(f"a.{newer_by}").isNotNull() & F.col(f"b.{newer_by}").isNull())
+                )
                 .select("b.*")
             )
             fresh = _without(df, stale, on)
@@ -101,6 +108,7 @@ def write_replace(
         if snap is None:
             write_snapshot(df, path, None, partition_by)
             return
+        require_columns(df, snap, path)
         slices = df.select(*by).distinct()
         touched = _folders(df, partition_by)
         if not set(partition_by) <= set(by):

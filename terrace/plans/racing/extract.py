@@ -38,7 +38,8 @@ def _split_fields(ddl: str) -> list[str]:
 
 
 def _site(pages: DataFrame, html: str, table_class: str, keep: list[str], columns: dict) -> DataFrame:
-    rows = html_rows(pages, html, table_class, keep)
+    # The rows of the first body; a later one is a footer.
+    rows = html_rows(pages, html, table_class, keep).filter("body = 0")
     return rows.select(*[c.alias(name) for name, c in columns.items()])
 
 

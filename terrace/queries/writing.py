@@ -127,3 +127,26 @@ def refresh_verified(spark: SparkSession, sf_dir: str) -> DataFrame:
         .groupBy(F.col("n_name").alias("nation"))
         .agg(F.count(F.lit(1)).alias("loaded"))
     )
+
+
+@query("SELECT c_custkey, c_name, c_nationkey * 2 AS c_nationkey, c_acctbal > 0 AS in_credit FROM customer")
+def overwrite_new_columns(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A table written anew with other columns and types."""
+    path, customers = new_dir(spark, "table"), table(spark, sf_dir, "customer")
+    write_overwrite(customers.select("c_custkey", "c_name", F.col("c_nationkey").cast("string").alias("c_nationkey")), path)
+    write_overwrite(
+        customers.select("c_custkey", "c_name", F.expr("c_nationkey * 2").alias("c_nationkey"), (F.col("c_acctbal") > 0).alias("in_credit")), path
+    )
+    return read_table(spark, path)
+
+
+@query("SELECT event_id, value, CASE WHEN event_id % 2 = 0 THEN user_id END AS at FROM events")
+def upsert_null_time(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Rows without a time do not replace stored rows that have one; any time replaces none."""
+    path, events = new_dir(spark, "table"), table(spark, sf_dir, "events")
+    timed = events.select("event_id", "value", F.expr("CASE WHEN event_id % 2 = 0 THEN user_id END").alias("at"))
+    blank = events.select("event_id", F.lit(-1.0).alias("value"), F.lit(None).cast("long").alias("at"))
+    write_merge(timed.filter("event_id % 4 < 2"), path, ["event_id"], newer_by="at")
+    write_merge(blank.filter("event_id % 2 = 0"), path, ["event_id"], newer_by="at")
+    write_merge(timed.filter("event_id % 4 > 1"), path, ["event_id"], newer_by="at")
+    return read_table(spark, path)

@@ -12,7 +12,7 @@ from __future__ import annotations
 import json
 import re
 from collections.abc import Sequence
-from dataclasses import dataclass, field
+from dataclasses import dataclass, field, replace
 
 from pyspark.sql import DataFrame, Row, SparkSession
 from pyspark.sql import functions as F
@@ -35,7 +35,7 @@ class Snapshot:
     partition_by: list[str]
     version: int = 0
     partitions: dict[str, int] = field(default_factory=dict)
-    batches: dict[str, int] = field(default_factory=dict)
+    batches: dict[str, list] = field(default_factory=dict)  # stream -> [run, number]
 
     def to_text(self) -> str:
         return json.dumps({**self.__dict__, "schema": self.schema.jsonValue()})
@@ -81,18 +81,35 @@ def read_snapshot(
     )
 
 
+def _other_columns(new: T.StructType, old: T.StructType) -> list[str]:
+    """Names that only one side has, or that have another type."""
+    a, b = ({f.name: f.dataType.simpleString() for f in s.fields} for s in (new, old))
+    return sorted(c for c in {*a, *b} if a.get(c) != b.get(c))
+
+
+def require_columns(df: DataFrame, snap: Snapshot, path: str) -> None:
+    """Raise unless ``df`` has the columns and types of the table."""
+    if odd := _other_columns(df.schema, snap.schema):
+        raise ValueError(f"columns that differ from those of {path}: {', '.join(odd)}")
+
+
 def write_snapshot(
     df: DataFrame,
     path: str,
     snap: Snapshot | None,
     partition_by: Sequence[str],
     replaced: set[str] | None = None,
-    batch: tuple[str, int] | None = None,
+    batch: tuple[str, str, int] | None = None,
 ) -> Snapshot:
     """Write ``df`` as the new state of the partitions it holds and of those in ``replaced``
-    (all partitions when None), then make it current."""
+    (all partitions when None), then make it current. A whole new state brings its own
+    columns; a part must have those of the table."""
     spark, parts = df.sparkSession, list(partition_by)
     snap = snap or Snapshot(df.schema, parts)
+    if replaced is None:
+        snap = replace(snap, schema=df.schema)
+    else:
+        require_columns(df, snap, path)
     version = snap.version + 1
     rows = df.select(*snap.schema.names)
     if parts and spark.conf.get("spark.sql.adaptive.enabled") == "true":
@@ -102,7 +119,7 @@ def write_snapshot(
     (writer.partitionBy(*parts) if parts else writer).parquet(f"{path}/{VERSION}={version}")
     written = leaf_dirs(spark, f"{path}/{VERSION}={version}", len(parts)) if parts else [""]
     kept = {} if replaced is None else {p: v for p, v in snap.partitions.items() if p not in replaced}
-    batches = {**snap.batches, batch[0]: batch[1]} if batch else snap.batches
+    batches = {**snap.batches, batch[0]: list(batch[1:])} if batch else snap.batches
     new = Snapshot(
         snap.schema, parts, version, {**kept, **dict.fromkeys(written, version)}, batches
     )
@@ -127,7 +144,12 @@ def stream_table(
     fmt: str = "parquet",
     per_trigger: int | None = None,
 ) -> DataFrame:
-    """A plain append-only table as a stream source."""
+    """A plain append-only table as a stream source. A snapshot table is none: its files
+    also hold rows that were replaced since."""
+    if exists(spark, f"{path}/{CURRENT}"):
+        raise ValueError(f"{path} is a table with replaced rows, it cannot be read as a stream")
+    if schema is None:
+        raise ValueError(f"a stream over {path} needs a schema")
     reader = spark.readStream.format(fmt).schema(schema)
     if per_trigger:
         reader = reader.option("maxFilesPerTrigger", per_trigger)

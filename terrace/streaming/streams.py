@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import json
 from collections.abc import Sequence
 
 from pyspark.sql import DataFrame
@@ -10,6 +11,7 @@ from pyspark.sql.streaming import StreamingQuery
 
 from terrace.operators.shape import latest_per_key, row_order
 from terrace.operators.write import write_merge
+from terrace.sources.places import read_text
 
 LATENESS = "30 minutes"
 
@@ -50,7 +52,9 @@ def start_upsert(
     """Merge a stream into a snapshot table, newest row per key by ``newer_by``.
 
     The stored row takes part in the comparison, so an old row in a later batch does not
-    win. The batch number is stored with the state, so a replayed batch changes nothing.
+    win. The number of a batch is stored with the state together with the query's own id,
+    which lives in the checkpoint: a replayed batch changes nothing, and after a reset of
+    the checkpoint all batches count again.
     """
     on = list(dict.fromkeys([*keys, *partition_by]))
     order = [F.col(newer_by).desc_nulls_last(), *row_order(df, skip=(newer_by, *on))]
@@ -58,7 +62,8 @@ def start_upsert(
     def upsert(rows: DataFrame, number: int) -> None:
         if not rows.isEmpty():
             newest = latest_per_key(rows, on, order)
-            write_merge(newest, path, keys, partition_by, newer_by, (checkpoint, number))
+            run = json.loads(read_text(rows.sparkSession, f"{checkpoint}/metadata"))["id"]
+            write_merge(newest, path, keys, partition_by, newer_by, (checkpoint, run, number))
 
     return (
         df.writeStream.foreachBatch(upsert)

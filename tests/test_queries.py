@@ -20,7 +20,7 @@ def con():
 def test_sql_belongs_to_queries():
     assert set(ORACLE) <= set(QUERIES)
     assert set(contract.oracle_sql()) <= set(contract.queries())
-    assert set(QUERIES) - set(ORACLE) == {"late_data"}
+    assert set(QUERIES) == set(ORACLE)
 
 
 @pytest.mark.parametrize("name", sorted(ORACLE))
@@ -28,12 +28,6 @@ def test_query(spark, con, name):
     assert difference(QUERIES[name](spark, SF_DIR), con, ORACLE[name]) is None
 
 
-def test_late_data_is_dropped_but_never_doubled(spark):
-    got = QUERIES["late_data"](spark, SF_DIR).collect()
-    assert all(r.kept == r.distinct_kept for r in got)
-    assert 0 < sum(r.kept for r in got) < spark.read.parquet(f"{SF_DIR}/events.parquet").count()
-
-
 def test_entry(spark):
     df = contract.entry(spark)
     assert df.columns == ["event_id", "user_id", "window_id", "valid_to"]

@@ -4,11 +4,12 @@ import pytest
 from hypothesis import HealthCheck, given, settings
 from hypothesis import strategies as st
 from pyspark.sql import Row
+from pyspark.sql import functions as F
 
 from terrace.operators.serve import LoadError, load_all, refresh, refresh_jdbc
 from terrace.operators.write import write_append, write_merge, write_overwrite, write_replace
 from terrace.sources.places import new_dir
-from terrace.sources.tables import partition_folder, read_table, snapshot_of
+from terrace.sources.tables import partition_folder, read_table, snapshot_of, stream_table
 
 SCHEMA = "id int, part string, v int"
 
@@ -36,10 +37,10 @@ def test_merge_without_partitions_and_with_null_keys(spark, rows):
 
 def test_merge_keeps_newer_rows_and_knows_its_batches(spark, rows):
     path = new_dir(spark, "t")
-    write_merge(frame(spark, [(1, "a", 5)]), path, ["id"], newer_by="v", batch=("s", 0))
-    write_merge(frame(spark, [(1, "a", 3), (2, "a", 1)]), path, ["id"], newer_by="v", batch=("s", 1))
+    write_merge(frame(spark, [(1, "a", 5)]), path, ["id"], newer_by="v", batch=("s", "r", 0))
+    write_merge(frame(spark, [(1, "a", 3), (2, "a", 1)]), path, ["id"], newer_by="v", batch=("s", "r", 1))
     assert rows(read_table(spark, path)) == [(1, "a", 5), (2, "a", 1)]
-    write_merge(frame(spark, [(9, "z", 9)]), path, ["id"], newer_by="v", batch=("s", 1))
+    write_merge(frame(spark, [(9, "z", 9)]), path, ["id"], newer_by="v", batch=("s", "r", 1))
     assert rows(read_table(spark, path), "id") == [(1,), (2,)]
     assert snapshot_of(spark, path).version == 2
 
@@ -155,3 +156,24 @@ def test_jdbc_refresh_asks_for_truncate_batches_and_few_connections(spark, monke
         "mode": "overwrite", "truncate": "true", "batchsize": 10_000, "numPartitions": 4,
         "url": "jdbc:x", "table": "t",
     }
+
+
+def test_parts_must_have_the_columns_of_the_table(spark):
+    path = new_dir(spark, "table")
+    write_merge(frame(spark, [(1, "a", 1)]), path, ["id"])
+    with pytest.raises(ValueError, match="extra"):
+        write_merge(frame(spark, [(1, "a", 1)]).withColumn("extra", F.lit(1)), path, ["id"])
+
+
+def test_a_new_run_of_a_stream_starts_over(spark, rows):
+    path = new_dir(spark, "table")
+    for run, v in (("a", 1), ("b", 2)):
+        write_merge(frame(spark, [(v, "a", v)]), path, ["id"], batch=("s", run, 0))
+    assert rows(read_table(spark, path), "id") == [(1,), (2,)]
+
+
+def test_merged_table_is_no_stream_source(spark):
+    path = new_dir(spark, "table")
+    write_merge(frame(spark, [(1, "a", 1)]), path, ["id"])
+    with pytest.raises(ValueError, match="replaced"):
+        stream_table(spark, path, "id int")
