@@ -9,26 +9,30 @@ from terrace.operators.resolve import resolve
 from terrace.queries.base import query, table
 from terrace.sources.places import shared_dir
 
-# Trigram sets, Dice scores and the top five per name, from `asked(name)` and `masters(id, name)`.
+# Trigrams with repeats, Dice scores and the top five per name, from `asked(name)` and
+# `masters(id, name)`. A name that equals masters has only those as candidates.
 _SCORES = r"""
-sets AS (
-  SELECT DISTINCT name, substr('  ' || w || ' ', CAST(i AS BIGINT), 3) AS gram
-  FROM (SELECT name, w, unnest(range(1, len(w) + 2)) AS i
-        FROM (SELECT name, unnest(string_split(name, ' ')) AS w
-              FROM (SELECT name FROM asked UNION SELECT name FROM masters)) WHERE w <> '')),
-sizes AS (SELECT name, count(*) AS n FROM sets GROUP BY name),
+grams AS (
+  SELECT name, gram, count(*) AS n FROM (
+    SELECT name, substr('  ' || w || ' ', CAST(i AS BIGINT), 3) AS gram
+    FROM (SELECT name, w, unnest(range(1, len(w) + 2)) AS i
+          FROM (SELECT name, unnest(string_split(name, ' ')) AS w
+                FROM (SELECT name FROM asked UNION SELECT name FROM masters)) WHERE w <> ''))
+  GROUP BY name, gram),
+sizes AS (SELECT name, sum(n) AS n FROM grams GROUP BY name),
 pairs AS (
-  SELECT a.name, m.name AS master_name, count(*) AS shared
-  FROM sets a JOIN sets m ON a.gram = m.gram
+  SELECT a.name, m.name AS master_name, sum(least(a.n, m.n)) AS shared
+  FROM grams a JOIN grams m ON a.gram = m.gram
   WHERE a.name IN (SELECT name FROM asked) AND m.name IN (SELECT name FROM masters)
   GROUP BY a.name, m.name),
 scored AS (
-  SELECT p.name, m.id, shared * 200.0 / (s.n + t.n) AS score
+  SELECT p.name, m.id, p.name = m.name AS is_equal, CAST(shared AS DOUBLE) * 200.0 / CAST(s.n + t.n AS DOUBLE) AS score
   FROM pairs p JOIN sizes s ON p.name = s.name JOIN sizes t ON p.master_name = t.name
   JOIN masters m ON m.name = p.master_name),
 top AS (
   SELECT *, row_number() OVER (PARTITION BY name ORDER BY score DESC, id) AS rk
-  FROM scored WHERE score >= 45 QUALIFY rk <= 5),
+  FROM (SELECT *, bool_or(is_equal) OVER (PARTITION BY name) AS has_equal FROM scored)
+  WHERE is_equal OR NOT has_equal QUALIFY rk <= 5),
 """
 
 
