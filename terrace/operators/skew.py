@@ -1,5 +1,8 @@
 """Work on groups of any size: hot groups are cut into pieces that fit one task.
 
+Pieces are cut at quantiles of the order column, so they hold about equally many rows
+however the values are spread.
+
 A group is hot when it has more than ``piece_rows`` rows. One map-side aggregated count
 over the key columns finds the hot groups before the real job is planned. Only the
 ``MAX_HOT`` largest are cut, so the table that describes them is bounded whatever the
@@ -19,6 +22,8 @@ from pyspark.sql import functions as F
 PIECE_ROWS = 5_000_000
 MAX_HOT = 100_000
 PIECE = "_piece"
+MAX_PIECES = 8_192
+BLOCK = 64
 
 
 def hot_groups(
@@ -40,13 +45,15 @@ def join_hot(df: DataFrame, hot: DataFrame, keys: Sequence[str], how: str) -> Da
 
 
 def _axis(c: Column, data_type: str) -> Column:
-    """A number that rises with ``c``; a constant when the type has none (text)."""
+    """A number that rises with ``c``: for text that of its first six bytes."""
     if data_type == "date":
         return F.unix_date(c).cast("double")
     if data_type.startswith("timestamp"):
         return F.unix_micros(c.cast("timestamp")).cast("double")
     if data_type.startswith(("tinyint", "smallint", "int", "bigint", "float", "double", "decimal")):
         return c.cast("double")
+    if data_type == "string":
+        return F.conv(F.rpad(F.hex(F.encode(c, "UTF-8")), 12, "0"), 16, 10).cast("double")
     return F.lit(0.0)
 
 
@@ -54,35 +61,69 @@ def axis_of(df: DataFrame, column: str) -> Column:
     return _axis(F.col(column), dict(df.dtypes)[column])
 
 
+def _place(df: DataFrame, order: str) -> Column:
+    """Where a row of a hot group lies on the order; text counts from ``_skip`` characters on,
+    after what all of the group's texts begin with."""
+    c, data_type = F.col(order), dict(df.dtypes)[order]
+    return _axis(F.substr(c, F.col("_skip") + 1, F.lit(6)) if data_type == "string" else c, data_type)
+
+
 def hot_ranges(
     df: DataFrame, keys: Sequence[str], order: str, piece_rows: int = PIECE_ROWS
 ) -> DataFrame | None:
-    """Per hot group: the lowest order value, and the number and width of its pieces."""
-    axis = axis_of(df, order)
-    hot = hot_groups(
-        df.select(*keys, order), keys, [F.min(axis).alias("_lo"), F.max(axis).alias("_hi")], piece_rows
-    )
+    """Per hot group the bounds between its pieces, at quantiles of ``order``.
+
+    Only hot groups are read a second time, for their quantiles. The bounds of all groups
+    together are fewer than rows / ``piece_rows``, so the table is as bounded as the list of
+    hot groups. A group has at most ``MAX_PIECES`` pieces.
+    """
+    rows = df.select(*keys, order)
+    is_text = dict(df.dtypes)[order] == "string"
+    ends = [F.min(order).alias("_min"), F.max(order).alias("_max")] if is_text else []
+    hot = hot_groups(rows, keys, ends, piece_rows)
     if hot is None:
         return None
-    pieces = F.ceil(F.col("_rows") / piece_rows)
-    return hot.select(
-        *keys,
-        F.coalesce("_lo", F.lit(0.0)).alias("_lo"),
-        pieces.alias("_pieces"),
-        ((F.col("_hi") - F.col("_lo")) / pieces).alias("_step"),
+    shared = F.lit(0)
+    if is_text:  # characters that the least and the greatest text have in common at their start
+        at = F.sequence(F.lit(1), F.greatest(F.length("_min"), F.lit(1)))
+        same = F.filter(at, lambda i: F.left("_min", i) == F.left("_max", i))
+        shared = F.coalesce(F.size(same), F.lit(0))
+    count = F.least(F.ceil(F.col("_rows") / piece_rows), F.lit(MAX_PIECES)).cast("int")
+    hot = hot.select(*keys, count.alias("_count"), shared.alias("_skip"))
+    steps = min(4 * hot.agg(F.max("_count")).first()[0], MAX_PIECES)
+    grid = [i / steps for i in range(1, steps)]
+    marked = join_hot(rows, hot, keys, "left").filter("_count IS NOT NULL")
+    spread = marked.groupBy(*keys, "_count", "_skip").agg(
+        F.percentile_approx(_place(df, order), grid, 10 * max(steps, 1_000)).alias("_grid")
     )
+    # Of the grid, the values at equal distances; equal values bound one piece.
+    numbers = F.filter(F.sequence(F.lit(0), F.col("_count") - 1), lambda i: i > 0)
+    picked = F.transform(numbers, lambda i: F.get("_grid", F.round(i * steps / F.col("_count")).cast("int") - 1))
+    bounds = F.array_distinct(F.filter(picked, lambda b: b.isNotNull() & ~F.isnan(b)))
+    found = spread.select(*keys, "_skip", bounds.alias("_bounds")).select(
+        "*",
+        F.filter("_bounds", lambda b, i: i % BLOCK == 0).alias("_blocks"),
+        (F.size("_bounds") + 1).cast("bigint").alias("_pieces"),
+    )
+    return df.sparkSession.createDataFrame(found.collect(), found.schema)
 
 
 def cut(df: DataFrame, keys: Sequence[str], order: str, ranges: DataFrame) -> DataFrame:
-    """Add the piece number: rises with ``order`` inside a hot group, null in other groups."""
-    last = F.col("_pieces") - 1
-    steps = F.try_divide(axis_of(df, order) - F.col("_lo"), F.col("_step"))
-    at = F.when(F.isnan(steps), last).otherwise(F.floor(steps))  # NaN sorts last
-    at = F.greatest(F.least(F.coalesce(at, F.lit(0)), last), F.lit(0))
-    return (
-        join_hot(df, ranges, keys, "left")
-        .withColumn(PIECE, F.when(F.col("_lo").isNotNull(), at))
-        .drop("_lo", "_pieces", "_step")
+    """Add the piece number: rises with ``order`` inside a hot group, null in other groups.
+
+    The bounds at or below a row's value are counted, in the right block only. Null sorts
+    first, NaN last.
+    """
+    own = join_hot(df, ranges, keys, "left").withColumn("_at", _place(df, order))
+
+    def below(bounds: Column) -> Column:
+        return F.size(F.filter(bounds, lambda b: b <= F.col("_at")))
+
+    before = (F.greatest(below(F.col("_blocks")) - 1, F.lit(0)) * BLOCK).cast("int")
+    own = own.withColumn("_before", before)
+    piece = F.col("_before") + below(F.slice("_bounds", F.col("_before") + 1, F.lit(BLOCK)))
+    return own.withColumn(PIECE, F.when(F.col("_pieces").isNotNull(), piece.cast("bigint"))).drop(
+        "_bounds", "_blocks", "_pieces", "_skip", "_at", "_before"
     )
 
 

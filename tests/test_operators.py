@@ -12,7 +12,7 @@ from terrace.operators.shape import (
     rename_lower,
     with_keys,
 )
-from terrace.operators.skew import group_values, hot_groups, lookup, neighbours
+from terrace.operators.skew import PIECE, cut, group_values, hot_groups, hot_ranges, lookup, neighbours
 from terrace.operators.star import add_unknown
 from terrace.operators.temporal import asof_join, fill_gaps, range_join, valid_to
 from terrace.plans.reports import sector_times
@@ -42,7 +42,7 @@ def test_neighbours_of_hot_groups(spark, rows, piece_rows):
 
 @pytest.mark.parametrize("kind", ["string", "date", "decimal(9,2)", "double", "timestamp"])
 def test_neighbours_by_any_order_type(spark, rows, kind):
-    """Numbers and times are cut, text is left whole, NaN and null have their place."""
+    """All types are cut; NaN and null have their place."""
     i = F.col("id")
     order = {
         "string": i.cast("string"),
@@ -58,6 +58,24 @@ def test_neighbours_by_any_order_type(spark, rows, kind):
     assert sorted(rows(cut, "v", "p", "n"), key=str) == sorted(rows(whole, "v", "p", "n"), key=str)
 
 
+@pytest.mark.parametrize("kind", ["even", "outlier", "growing", "text"])
+@pytest.mark.parametrize("pieces", [10, 100])
+def test_pieces_hold_about_equally_many_rows(spark, kind, pieces):
+    """Also more pieces than one block of bounds, and values that are spread unevenly."""
+    i = F.col("id")
+    order = {
+        "even": i.cast("double"),
+        "outlier": F.when(i == 0, F.lit(1e15)).otherwise(i.cast("double")),
+        "growing": F.exp(i / 500.0),
+        "text": F.format_string("customer#%09d", i),
+    }[kind]
+    df = spark.range(10_000).select(F.lit(1).alias("k"), order.alias("o"))
+    ranges = hot_ranges(df, ["k"], "o", 10_000 // pieces)
+    sizes = [r["count"] for r in cut(df, ["k"], "o", ranges).groupBy(PIECE).count().collect()]
+    assert len(sizes) == ranges.first()._pieces == pieces
+    assert sum(sizes) == 10_000 and max(sizes) <= 2 * min(sizes)
+
+
 @pytest.mark.parametrize("piece_rows", [10**6, 50])
 def test_group_values_of_hot_groups(spark, rows, piece_rows):
     df, data = skewed(spark)
