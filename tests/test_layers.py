@@ -1,7 +1,7 @@
 import pytest
 from pyspark.sql import functions as F
 
-from terrace.plans.layers import Layers, StageError, build, ordered, run_bronze, run_stage
+from terrace.plans.layers import Layers, StageError, build, ordered, run_all, run_bronze, run_stage
 from terrace.plans.racing import RECORDS, TOPICS, gold_specs, silver_specs
 from terrace.sources.places import new_dir, shared_dir
 from terrace.sources.tables import read_table
@@ -79,6 +79,22 @@ def test_a_stage_goes_on_past_a_failure_and_reports_it(spark, rows):
     assert run_stage(spark, layers, specs, allow_partial=True).count() == 3
 
 
+def test_bronze_goes_on_past_a_missing_topic_and_all_layers_share_a_report(spark, rows):
+    layers = Layers.under(new_dir(spark, "layers"))
+    write_topic(to_records(spark.createDataFrame([(1, "a")], "Id int, Name string")), f"{layers.topics}/t")
+    with pytest.raises(StageError, match="1 tables failed: missing") as e:
+        run_bronze(spark, layers, ["missing", "t"])
+    assert {r.table: r.status for r in e.value.results.collect()} == {"missing": "failed", "t": "ok"}
+    specs = [spec("B", (Source("silver", "A"),), layer="gold"), spec("A", strategy="merge")]
+    with pytest.raises(StageError):
+        run_all(spark, layers, ["missing", "t"], specs)
+    results = run_all(spark, layers, ["missing", "t"], specs, allow_partial=True)
+    assert rows(results, "layer", "table", "status") == [
+        ("bronze", "missing", "failed"), ("bronze", "t", "ok"), ("gold", "B", "ok"), ("silver", "A", "ok"),
+    ]
+    assert rows(read_table(spark, layers.path("gold", "B")), "id", "name") == [(1, "a")]
+
+
 def test_the_shared_folder_is_the_one_the_session_names(spark):
     place = spark.conf.get("spark.checkpoint.dir")
     assert shared_dir(spark) == place
