@@ -9,24 +9,30 @@ from terrace.operators.resolve import resolve
 from terrace.queries.base import query, table
 from terrace.sources.places import shared_dir
 
-# Trigrams with repeats, Dice scores and the top five per name, from `asked(name)` and
-# `masters(id, name)`. A name that equals masters has only those as candidates.
+# Trigrams with numbered repeats, weighed by how few masters have them, Dice scores of the
+# weights and the top five per name, from `asked(name)` and `masters(id, name)`. A name that
+# equals masters has only those as candidates.
 _SCORES = r"""
-grams AS (
-  SELECT name, gram, count(*) AS n FROM (
+plain AS (
+  SELECT name, gram || row_number() OVER (PARTITION BY name, gram) AS gram FROM (
     SELECT name, substr('  ' || w || ' ', CAST(i AS BIGINT), 3) AS gram
     FROM (SELECT name, w, unnest(range(1, len(w) + 2)) AS i
           FROM (SELECT name, unnest(string_split(name, ' ')) AS w
-                FROM (SELECT name FROM asked UNION SELECT name FROM masters)) WHERE w <> ''))
-  GROUP BY name, gram),
+                FROM (SELECT name FROM asked UNION SELECT name FROM masters)) WHERE w <> ''))),
+uses AS (SELECT gram, count(*) AS n FROM plain WHERE name IN (SELECT name FROM masters) GROUP BY gram),
+grams AS (
+  SELECT name, gram, least(10, length(bin(((SELECT count(DISTINCT name) FROM masters) + 7) // coalesce(n, 1))) - 1) AS n
+  FROM plain LEFT JOIN uses USING (gram)),
 sizes AS (SELECT name, sum(n) AS n FROM grams GROUP BY name),
 pairs AS (
-  SELECT a.name, m.name AS master_name, sum(least(a.n, m.n)) AS shared
+  SELECT a.name, m.name AS master_name, sum(a.n) AS shared
   FROM grams a JOIN grams m ON a.gram = m.gram
-  WHERE a.name IN (SELECT name FROM asked) AND m.name IN (SELECT name FROM masters)
-  GROUP BY a.name, m.name),
+  WHERE a.n > 0 AND a.name IN (SELECT name FROM asked) AND m.name IN (SELECT name FROM masters)
+  GROUP BY a.name, m.name
+  UNION SELECT name, name, 1 FROM asked WHERE name IN (SELECT name FROM masters)
+    AND name NOT IN (SELECT name FROM grams WHERE n > 0)),
 scored AS (
-  SELECT p.name, m.id, p.name = m.name AS is_equal, CAST(shared AS DOUBLE) * 200.0 / CAST(s.n + t.n AS DOUBLE) AS score
+  SELECT p.name, m.id, p.name = m.name AS is_equal, CASE WHEN p.name = m.name THEN 100.0 ELSE CAST(shared AS DOUBLE) * 200.0 / CAST(s.n + t.n AS DOUBLE) END AS score
   FROM pairs p JOIN sizes s ON p.name = s.name JOIN sizes t ON p.master_name = t.name
   JOIN masters m ON m.name = p.master_name),
 top AS (
