@@ -54,18 +54,19 @@ def write_merge(
     partition_by: Sequence[str] = (),
     newer_by: str | None = None,
     batch: tuple[str, str, int] | None = None,
+    fmt: str = "parquet",
 ) -> None:
     """Upsert: rows with the same keys (and partition) are replaced, others are added.
 
     ``df`` has one row per key. Only partitions that ``df`` touches are read and written
     again. With ``newer_by`` a stored row that is newer than its update stays; no time is
     older than any. ``batch`` (stream, its run, number) makes a repeated batch of the run a
-    no-op; a new run starts over.
+    no-op; a new run starts over. ``fmt`` is the file format of a table that is new.
     """
     spark = df.sparkSession
     snap = snapshot_of(spark, path)
     if snap is None:
-        write_snapshot(df, path, None, partition_by, batch=batch)
+        write_snapshot(df, path, None, partition_by, batch=batch, fmt=fmt)
         return
     run, number = snap.batches.get(batch[0], (None, -1)) if batch else (None, -1)
     if batch and run == batch[1] and number >= batch[2]:
@@ -95,10 +96,11 @@ def write_merge(
 
 
 def write_replace(
-    df: DataFrame, path: str, by: Sequence[str], partition_by: Sequence[str] = ()
+    df: DataFrame, path: str, by: Sequence[str], partition_by: Sequence[str] = (), fmt: str = "parquet"
 ) -> None:
     """Replace the slices that ``df`` holds: every stored row whose ``by`` values occur in
-    ``df`` goes, all rows of ``df`` come. An empty ``df`` changes nothing."""
+    ``df`` goes, all rows of ``df`` come. An empty ``df`` changes nothing. ``fmt`` is the
+    file format of a table that is new."""
     spark = df.sparkSession
     snap = snapshot_of(spark, path)
     df = df.persist()
@@ -106,7 +108,7 @@ def write_replace(
         if df.isEmpty():
             return
         if snap is None:
-            write_snapshot(df, path, None, partition_by)
+            write_snapshot(df, path, None, partition_by, fmt=fmt)
             return
         require_columns(df, snap, path)
         slices = df.select(*by).distinct()
@@ -122,6 +124,8 @@ def write_replace(
         df.unpersist()
 
 
-def write_overwrite(df: DataFrame, path: str, partition_by: Sequence[str] = ()) -> None:
+def write_overwrite(
+    df: DataFrame, path: str, partition_by: Sequence[str] = (), fmt: str = "parquet"
+) -> None:
     """Make ``df`` the whole table; readers of the old state are not disturbed."""
-    write_snapshot(df, path, snapshot_of(df.sparkSession, path), partition_by)
+    write_snapshot(df, path, snapshot_of(df.sparkSession, path), partition_by, fmt=fmt)

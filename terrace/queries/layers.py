@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from terrace.plans.layers import Layers, run_bronze, run_stage
+from terrace.plans.layers import Layers, run_all, run_bronze, run_stage
 from terrace.queries.base import query, table
 from terrace.sources.places import new_dir
 from terrace.sources.tables import read_table
@@ -142,3 +142,48 @@ def failure_table(spark: SparkSession, sf_dir: str) -> DataFrame:
         sizes = sizes.unionByName(c)
     named = results.withColumnRenamed("table", "name").drop("error")
     return named.join(sizes, ["layer", "name"], "left")
+
+
+_EVENTS = TableSpec(
+    name="EVENT",
+    layer="silver",
+    sources=(Source("topic", "events", "event_id bigint, user_id bigint"),),
+    strategy="merge",
+    keys=("event_id",),
+)
+
+
+@query(
+    """
+SELECT event_id, user_id, CASE WHEN event_id % 7 < 3 THEN 'quarantine' ELSE 'silver' END AS place,
+  CASE event_id % 7 WHEN 0 THEN '{"event_id": ' || event_id WHEN 1 THEN 'no record'
+    WHEN 2 THEN '{"event_id": "x' || event_id || '"}' END AS bad
+FROM events WHERE event_id % 7 <> 3
+"""
+)
+def malformed_records(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Events of which some arrive cut off, as other text, with a wrong type, or empty: the
+    malformed ones are in quarantine as they arrived, once after two runs; tables are ORC."""
+    layers = Layers.under(new_dir(spark, "layers"), fmt="orc")
+    kind, key = F.col("event_id") % 7, F.col("event_id").cast("string")
+    value = (
+        F.when(kind == 0, F.concat(F.lit('{"event_id": '), key))
+        .when(kind == 1, F.lit("no record"))
+        .when(kind == 2, F.concat(F.lit('{"event_id": "x'), key, F.lit('"}')))
+        .when(kind == 3, F.lit(""))
+        .otherwise(F.to_json(F.struct("event_id", "user_id")))
+    )
+    events = table(spark, sf_dir, "events")
+    sent = events.select(key.alias("key"), value.alias("value"), F.col("ts").alias("timestamp"))
+    for half in (0, 1):
+        write_topic(sent.filter(F.col("key").cast("bigint") % 2 == half), f"{layers.topics}/events")
+        run_all(spark, layers, ["events"], [_EVENTS], quarantine=True)
+    bad = read_table(spark, layers.path("silver", "quarantine/EVENT-events"), layers.fmt)
+    owner = events.select("event_id", "user_id")
+    aside = bad.select(F.col("kafka_key").cast("bigint").alias("event_id"), F.col("kafka_value").alias("bad"))
+    silver = read_table(spark, layers.path("silver", "EVENT"), layers.fmt)
+    return (
+        aside.join(owner, "event_id")
+        .select("event_id", "user_id", F.lit("quarantine").alias("place"), "bad")
+        .unionByName(silver.select("event_id", "user_id", F.lit("silver").alias("place"), F.lit(None).cast("string").alias("bad")))
+    )

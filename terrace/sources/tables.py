@@ -29,13 +29,14 @@ ESCAPED = re.compile(r"""[\x01-\x1f\x7f"#%'*/:=?\\{\[\]^]""")
 
 @dataclass
 class Snapshot:
-    """State of a snapshot table: schema, partition columns, version of each partition."""
+    """State of a snapshot table: schema, partition columns, version of each partition, format."""
 
     schema: T.StructType
     partition_by: list[str]
     version: int = 0
     partitions: dict[str, int] = field(default_factory=dict)
     batches: dict[str, list] = field(default_factory=dict)  # stream -> [run, number]
+    fmt: str = "parquet"
 
     def to_text(self) -> str:
         return json.dumps({**self.__dict__, "schema": self.schema.jsonValue()})
@@ -75,8 +76,9 @@ def read_snapshot(
     folders = [f"{path}/{VERSION}={v}/{p}".rstrip("/") for p, v in sorted(parts.items())]
     return (
         spark.read.schema(full)
+        .format(snap.fmt)
         .option("basePath", path)
-        .parquet(*folders)
+        .load(folders)
         .select(*snap.schema.names)
     )
 
@@ -100,14 +102,15 @@ def write_snapshot(
     partition_by: Sequence[str],
     replaced: set[str] | None = None,
     batch: tuple[str, str, int] | None = None,
+    fmt: str = "parquet",
 ) -> Snapshot:
     """Write ``df`` as the new state of the partitions it holds and of those in ``replaced``
     (all partitions when None), then make it current. A whole new state brings its own
-    columns; a part must have those of the table."""
+    columns and file format; a part must have the columns of the table and takes its format."""
     spark, parts = df.sparkSession, list(partition_by)
     snap = snap or Snapshot(df.schema, parts)
     if replaced is None:
-        snap = replace(snap, schema=df.schema)
+        snap = replace(snap, schema=df.schema, fmt=fmt)
     else:
         require_columns(df, snap, path)
     version = snap.version + 1
@@ -115,13 +118,13 @@ def write_snapshot(
     if parts and spark.conf.get("spark.sql.adaptive.enabled") == "true":
         # Few files per partition, and a hot partition split over tasks, by runtime sizes.
         rows = rows.hint("rebalance", *parts)
-    writer = rows.write.mode("overwrite")
-    (writer.partitionBy(*parts) if parts else writer).parquet(f"{path}/{VERSION}={version}")
+    writer = rows.write.format(snap.fmt).mode("overwrite")
+    (writer.partitionBy(*parts) if parts else writer).save(f"{path}/{VERSION}={version}")
     written = leaf_dirs(spark, f"{path}/{VERSION}={version}", len(parts)) if parts else [""]
     kept = {} if replaced is None else {p: v for p, v in snap.partitions.items() if p not in replaced}
     batches = {**snap.batches, batch[0]: list(batch[1:])} if batch else snap.batches
     new = Snapshot(
-        snap.schema, parts, version, {**kept, **dict.fromkeys(written, version)}, batches
+        snap.schema, parts, version, {**kept, **dict.fromkeys(written, version)}, batches, snap.fmt
     )
     swap_text(spark, f"{path}/{CURRENT}", new.to_text())
     return new

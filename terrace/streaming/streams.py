@@ -48,6 +48,7 @@ def start_upsert(
     keys: Sequence[str],
     newer_by: str,
     partition_by: Sequence[str] = (),
+    fmt: str = "parquet",
 ) -> StreamingQuery:
     """Merge a stream into a snapshot table, newest row per key by ``newer_by``.
 
@@ -63,7 +64,7 @@ def start_upsert(
         if not rows.isEmpty():
             newest = latest_per_key(rows, on, order)
             run = json.loads(read_text(rows.sparkSession, f"{checkpoint}/metadata"))["id"]
-            write_merge(newest, path, keys, partition_by, newer_by, (checkpoint, run, number))
+            write_merge(newest, path, keys, partition_by, newer_by, (checkpoint, run, number), fmt)
 
     return (
         df.writeStream.foreachBatch(upsert)

@@ -1,7 +1,7 @@
 import pytest
 from pyspark.sql import functions as F
 
-from terrace.plans.layers import Layers, StageError, build, ordered, run_all, run_bronze, run_stage
+from terrace.plans.layers import Layers, StageError, build, malformed, ordered, run_all, run_bronze, run_stage
 from terrace.plans.racing import RECORDS, TOPICS, gold_specs, silver_specs
 from terrace.sources.places import new_dir, shared_dir
 from terrace.sources.tables import read_table
@@ -118,3 +118,40 @@ def test_gold_goes_to_the_serving_database_table_by_table(spark, rows, monkeypat
     assert loaded == [("jdbc:x", "dim_a", [(1, "a")]), ("jdbc:x", "dim_b", [(1, "a")])]
     with pytest.raises(ValueError, match="DIM_C"):
         module.load_gold(spark, layers, specs, "jdbc:x", only={"DIM_C"})
+
+
+@pytest.mark.parametrize("mode, strategy", [("batch", "merge"), ("batch", "append"), ("stream", "append"), ("stream", "merge")])
+def test_all_layers_take_the_format(spark, rows, mode, strategy):
+    layers = Layers.under(new_dir(spark, "layers"), fmt="orc")
+    silver = spec("A", mode=mode, strategy=strategy, partition_by=("name",))
+    gold = [
+        spec("B", (Source("silver", "A"),), layer="gold", newest_first=()),
+        spec("C", (Source("gold", "B"),), layer="gold", newest_first=(), strategy="dynamic_overwrite", replace_by=("id",)),
+    ]
+    for batch in ([(1, "a"), (2, "b")], [(3, "c")]):
+        write_topic(to_records(spark.createDataFrame(batch, "Id int, Name string")), f"{layers.topics}/t")
+        if strategy == "append" and mode == "batch" and batch[0][0] == 3:
+            break  # a second batch run of an append would add everything again
+        run_all(spark, layers, ["t"], [silver, *gold])
+    want = [(1, "a"), (2, "b")] + ([] if (mode, strategy) == ("batch", "append") else [(3, "c")])
+    for s in (silver, *gold):
+        path = layers.path(s.layer, s.name)
+        assert rows(read_table(spark, path, "orc"), "id", "name") == want
+        files = read_table(spark, path, "orc").inputFiles()
+        assert files and all(f.endswith(".orc") for f in files)
+
+
+def test_malformed_records_are_set_aside_once(spark, rows):
+    layers = Layers.under(new_dir(spark, "layers"))
+    texts = ['{"Id": 1, "Name": "a"}', '{"Id": 2', "[]x", '{"Id": "no"}', "", None, "{}", '{"Id": 3, "more": 1}']
+    sent = spark.createDataFrame([(None, t, None) for t in texts], "key string, value string, timestamp timestamp")
+    write_topic(sent, f"{layers.topics}/t")
+    for _ in range(2):
+        results = run_all(spark, layers, ["t"], [spec("A", strategy="merge")], quarantine=True)
+        assert ("silver", "quarantine/A-t", "ok") in rows(results, "layer", "table", "status")
+    bad = read_table(spark, layers.path("silver", "quarantine/A-t"))
+    assert rows(bad, "kafka_value") == sorted([('{"Id": 2',), ("[]x",), ('{"Id": "no"}',)])
+    assert rows(malformed(spark, layers, TOPIC), "kafka_value") == rows(bad, "kafka_value")
+    assert rows(read_table(spark, layers.path("silver", "A")), "id", "name") == [(1, "a"), (3, None)]
+    with pytest.raises(StageError, match="quarantine/A-gone"):
+        run_all(spark, layers, ["t"], [spec("A", (Source("topic", "gone", "Id int"),))], quarantine=True)
