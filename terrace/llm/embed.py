@@ -11,7 +11,8 @@ table with probability 0.0003.
 Equal vectors are one class with a weight. A pair is counted in the first table where its
 codes agree, so every link counts once. A bucket of more than ``block`` classes is cut into
 blocks and each two of its blocks are compared by one task, so no task holds a hot bucket;
-links are summed in the task and never written out.
+links are summed in the task and never written out. Only ids and buckets are counted; the
+vectors are written once and go just to the buckets that hold another vector.
 """
 
 from __future__ import annotations
@@ -58,7 +59,8 @@ def codes(units: np.ndarray) -> np.ndarray:
     return (mixed >> np.uint64(32)).astype(np.uint32)
 
 
-def _bucket_rows(batch: pa.RecordBatch) -> Iterator[dict]:
+def _coded(batch: pa.RecordBatch) -> Iterator[dict]:
+    """Per vector its codes, and the bucket of each table: table, length and code in one number."""
     lists = batch.column("embedding")
     sizes = lists.value_lengths().to_numpy(zero_copy_only=False)
     wide = lists.type.value_type.bit_width // 8
@@ -67,19 +69,15 @@ def _bucket_rows(batch: pa.RecordBatch) -> Iterator[dict]:
         sub = lists.take(mine)
         v = sub.flatten().to_numpy(zero_copy_only=False).reshape(-1, dims)
         code = codes(_unit(v))
-        raw = pa.array([r.tobytes() for r in v], pa.binary())
-        own = pa.array([r.tobytes() for r in code], pa.binary())
-        for t in range(TABLES):
-            key = code[:, t].astype(np.int64) + ((np.int64(t) * 65536 + np.int64(dims % 65536)) << np.int64(32))
-            yield {
-                "key": key,
-                "tab": np.full(len(v), t, dtype=np.int32),
-                "cid": batch.column("cid").take(mine),
-                "n": batch.column("n").take(mine),
-                "wide": np.full(len(v), wide, dtype=np.int32),
-                "codes": own,
-                "vector": raw,
-            }
+        keys = code.astype(np.int64) + ((np.arange(TABLES) * 65536 + np.int64(dims % 65536)) << np.int64(32))
+        yield {
+            "cid": batch.column("cid").take(mine),
+            "n": batch.column("n").take(mine),
+            "wide": np.full(len(v), wide, dtype=np.int32),
+            "codes": pa.array([r.tobytes() for r in code], pa.binary()),
+            "keys": pa.ListArray.from_arrays(np.arange(len(v) + 1, dtype=np.int32) * TABLES, keys.ravel()),
+            "vector": pa.array([r.tobytes() for r in v], pa.binary()),
+        }
 
 
 def _labels(i: np.ndarray, j: np.ndarray, cid: np.ndarray) -> np.ndarray:
@@ -156,19 +154,22 @@ def near_vectors(vectors: DataFrame, cosine: float = COSINE, block: int = BLOCK)
         .withColumn("cid", F.monotonically_increasing_id()),
         "embed-classes",
     )
-    buckets = keep(
+    coded = keep(
         by_batch(
             classes.select("cid", "n", "embedding"),
-            _bucket_rows,
-            "key long, tab int, cid long, n long, wide int, codes binary, vector binary",
+            _coded,
+            "cid long, n long, wide int, codes binary, keys array<long>, vector binary",
         ),
-        "embed-buckets",
+        "embed-coded",
     )
-    # Buckets of one row have no pairs; larger ones are cut into blocks.
+    # Buckets of one row have no pairs and bring no vector; larger ones are cut into blocks.
+    buckets = coded.select("cid", F.explode("keys").alias("key"))
     sizes = buckets.groupBy("key").agg(F.count("*").alias("size")).filter("size > 1")
     blocks = F.ceil(F.col("size") / block)
     placed = (
         buckets.join(sizes.select("key", blocks.alias("blocks")), "key")
+        .join(coded.drop("keys"), "cid")
+        .withColumn("tab", F.shiftright("key", 48).cast("int"))
         .withColumn("home", F.pmod(F.xxhash64("cid"), F.col("blocks")))
         .withColumn("other", F.explode(F.sequence(F.lit(0).cast("long"), F.col("blocks") - 1)))
         .withColumn("cell", F.least("home", "other") * F.col("blocks") + F.greatest("home", "other"))
