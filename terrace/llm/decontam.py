@@ -59,7 +59,7 @@ def _same(a: str, b: str, *cols: str) -> Column:
     return reduce(Column.__and__, [F.col(f"{a}.{c}").eqNullSafe(F.col(f"{b}.{c}")) for c in cols])
 
 
-def contamination(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
+def contamination(docs: DataFrame, benchmark: DataFrame, keyed: bool = False) -> DataFrame:
     """One row per document: ``doc_id, n_words, n_hit, n_items, items_sha256, contaminated``.
 
     A window is ten consecutive words of an item (all of them if there are fewer; items
@@ -67,7 +67,8 @@ def contamination(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
     Null and empty texts have no words. Rows that repeat a doc_id each count for their own
     text; repeated items count once per item_id, and a null item_id counts as an item but
     has no place in the list of ids. Without documents there are no rows, without benchmark
-    no hits. Other columns are not read.
+    no hits. Other columns are not read. With ``keyed``, ``key`` (xxhash64 of the text) is
+    added, for rows whose doc_id is null or repeated.
     """
     texts = docs.select("doc_id", "text")
     windows, owners = _windows(benchmark)
@@ -164,6 +165,7 @@ def contamination(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
             F.coalesce("h.n_items", zero).alias("n_items"),
             F.sha2(F.coalesce("h.items", F.lit("")), 256).alias("items_sha256"),
             (F.coalesce("h.n_hit", zero) > 0).alias("contaminated"),
+            *([F.col("d.key")] if keyed else []),
         )
     )
 

@@ -256,6 +256,7 @@ def _scorer(model: Model):
                 cross.append(evidence(score, model.rate[side])[0])
         yield {
             "doc_id": batch.column("doc_id"),
+            "key": batch.column("key"),
             "held_out": batch.column("held_out"),
             "toxic": batch.column("toxic"),
             "x": pa.array(x, pa.float64()),
@@ -288,7 +289,7 @@ def _bin(x: Column) -> Column:
     return F.round(x / BIN) * BIN
 
 
-def score(docs: DataFrame, labels: DataFrame) -> DataFrame:
+def score(docs: DataFrame, labels: DataFrame, keyed: bool = False) -> DataFrame:
     """One row per document: ``doc_id, held_out, score, predicted, passages``.
 
     Labels of rows whose crc32(doc_id) modulo 3 is not 1 are learned from (a document with
@@ -296,12 +297,13 @@ def score(docs: DataFrame, labels: DataFrame) -> DataFrame:
     and evidence of each significant passage. Null and empty texts have no evidence and get
     the score of such rows; without any training rows every score is 0.5 at most. A null
     doc_id is not held out and has no label. Repeated rows stay; an empty table gives no
-    rows. Other columns are not read.
+    rows. Other columns are not read. With ``keyed``, ``key`` (xxhash64 of the text) is added,
+    for rows whose doc_id is null or repeated.
     """
     model, known = learn(docs, labels)
     kind = docs.schema["doc_id"].dataType.simpleString()
     rows = (
-        docs.select("doc_id", F.col("text").cast("binary").alias("text"))
+        docs.select("doc_id", F.xxhash64("text").alias("key"), F.col("text").cast("binary").alias("text"))
         .join(small(known), "doc_id", "left")
         .withColumn("held_out", F.coalesce(remainder(3) == 1, F.lit(False)))
     )
@@ -309,7 +311,7 @@ def score(docs: DataFrame, labels: DataFrame) -> DataFrame:
         by_batch(
             rows,
             _scorer(model),
-            f"doc_id {kind}, held_out boolean, toxic int, x double, crossed double, "
+            f"doc_id {kind}, key long, held_out boolean, toxic int, x double, crossed double, "
             "passages array<struct<first: int, last: int, evidence: double>>",
         ),
         "toxicity-evidence",
@@ -319,8 +321,9 @@ def score(docs: DataFrame, labels: DataFrame) -> DataFrame:
     xs, ps = calibration(*[np.array([float(r[i]) for r in bins]) for i in range(3)])
     if not len(xs):
         xs, ps = np.array([0.0, 1.0]), np.array([0.5, 0.5])
-    return found.select("doc_id", "held_out", _interpolated(_bin(F.col("x")), xs, ps).alias("score"), "passages").select(
-        "doc_id", "held_out", "score", (F.col("score") >= THRESHOLD).cast("int").alias("predicted"), "passages"
+    key = ["key"] if keyed else []
+    return found.select("doc_id", "held_out", _interpolated(_bin(F.col("x")), xs, ps).alias("score"), "passages", *key).select(
+        "doc_id", "held_out", "score", (F.col("score") >= THRESHOLD).cast("int").alias("predicted"), "passages", *key
     )
 
 
