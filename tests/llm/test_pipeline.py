@@ -2,10 +2,11 @@
 against brute force."""
 
 import os
+import random
 from pathlib import Path
 
 import corpus_pipeline
-from terrace.llm import toxicity
+from terrace.llm import similar, toxicity
 from terrace.llm.common import table
 
 SF_DIR = os.environ.get("TEST_SF_DIR", "/root/testdata/sf0.001")
@@ -16,6 +17,62 @@ def kept(df):
     return sorted(((r.doc_id, r.text) for r in df.collect()), key=str)
 
 
+def plain_shingles(text):
+    words = (text or "").encode().lower().split()
+    return {tuple(words[i : i + 5]) for i in range(len(words) - 4)} if len(words) >= 5 else {tuple(words)}
+
+
+def plain_groups(texts):
+    sets, root = [plain_shingles(t) for t in texts], list(range(len(texts)))
+    for i, a in enumerate(sets):
+        for j in range(i):
+            if len(a & sets[j]) >= 0.8 * len(a | sets[j]) - 1e-9 and root[i] != root[j]:
+                old, new = root[i], root[j]
+                root = [new if x == old else x for x in root]
+    out = {}
+    for i, x in enumerate(root):
+        out.setdefault(x, set()).add(i)
+    return sorted(map(sorted, out.values()))
+
+
+def texts_with_copies(rng):
+    word = lambda: f"w{rng.randrange(400)}"
+    texts = [None, "", " \n", "One two", "one  TWO", "a b c d e"]
+    for _ in range(50):
+        base = [word() for _ in range(rng.randrange(30, 300))]
+        texts.append(" ".join(base))
+        for _ in range(rng.randrange(4)):
+            other = list(base)
+            for _ in range(rng.randrange(1, 2 + len(base) // 30)):
+                other[rng.randrange(len(other))] = word()
+            texts.append(" ".join(other))
+    base = [word() for _ in range(200)]
+    for i in range(60):  # one large group
+        texts.append(" ".join(base[:i] + ["x"] + base[i + 1 :]))
+    return [*texts, texts[8], texts[8]]
+
+
+def check_groups(spark, texts):
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    nodes = {r.doc_id: r.node for r in docs.select("doc_id", similar.node_of("text").alias("node")).collect()}
+    roots = {r.node: r.root for r in similar.groups(docs).collect()}
+    got = {}
+    for i, node in nodes.items():
+        got.setdefault(roots.get(node, node), set()).add(i)
+    assert sorted(map(sorted, got.values())) == plain_groups(texts)
+    left = corpus_pipeline.one_of_each_group(spark, docs, SF_DIR)
+    assert sorted(r.doc_id for r in left.collect()) == sorted(g[0] for g in plain_groups(texts))
+
+
+def test_near_copies_by_brute_force(spark):
+    check_groups(spark, texts_with_copies(random.Random(5)))
+
+
+def test_near_copies_when_every_pair_is_left_to_the_end(spark, monkeypatch):
+    monkeypatch.setattr(similar, "STAR_ROUNDS", 0)
+    check_groups(spark, texts_with_copies(random.Random(6)))
+
+
 def test_rejection_takes_only_the_rejected_row(spark):
     documents, labels = table(spark, LARGER, "documents"), table(spark, LARGER, "labels")
     toxic = {r.doc_id for r in toxicity.score(documents, labels).filter("predicted = 1").collect()}
