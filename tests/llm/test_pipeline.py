@@ -73,6 +73,17 @@ def test_near_copies_when_every_pair_is_left_to_the_end(spark, monkeypatch):
     check_groups(spark, texts_with_copies(random.Random(6)))
 
 
+def test_dedup_by_text_not_by_id(spark):
+    a = " ".join(f"a{i}" for i in range(40))
+    near, b, c = a + " end", "another text of its own words", "a third text of its own words"
+    rows = [(1, a), (5, near), (5, b), (None, c), (None, c), (None, c.upper()), (None, "lone"), (None, a), (7, b), (8, "z"), (8, "z")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    got = kept(corpus_pipeline.one_of_each_group(spark, docs, SF_DIR))
+    assert len(got) == 5
+    assert {(1, a), (5, b), (None, "lone"), (8, "z")} < set(got)
+    assert len({(None, c), (None, c.upper())} & set(got)) == 1
+
+
 def test_rejection_takes_only_the_rejected_row(spark):
     documents, labels = table(spark, LARGER, "documents"), table(spark, LARGER, "labels")
     toxic = {r.doc_id for r in toxicity.score(documents, labels).filter("predicted = 1").collect()}
