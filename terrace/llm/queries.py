@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from terrace.llm import decontam, embed, langid, mixing, secrets, sharding, simhash, suffix, toxicity, warc
+from terrace.llm import decontam, embed, langid, lines, mixing, secrets, sharding, simhash, suffix, toxicity, warc
 from terrace.llm.common import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -81,3 +81,9 @@ def op7_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op10_suffix(spark: SparkSession, sf_dir: str) -> DataFrame:
     """What is left of every document without repeated bytes."""
     return suffix.without_repeats(table(spark, sf_dir, "documents"))
+
+
+@query(lines.SQL)
+def op13_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What is left of every document without lines that many documents share."""
+    return lines.without_shared_lines(table(spark, sf_dir, "documents"))
