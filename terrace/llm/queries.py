@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from terrace.llm import decontam, embed, langid, lines, mixing, secrets, sharding, simhash, suffix, toxicity, warc
+from terrace.llm import decontam, embed, langid, lines, mixing, ranking, secrets, sharding, simhash, suffix, toxicity, warc
 from terrace.llm.common import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -87,3 +87,9 @@ def op10_suffix(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op13_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     """What is left of every document without lines that many documents share."""
     return lines.without_shared_lines(table(spark, sf_dir, "documents"))
+
+
+@query(ranking.SQL)
+def op12_ranking(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The best documents of every benchmark item."""
+    return ranking.best_documents(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
