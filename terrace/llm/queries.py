@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from terrace.llm import decontam, embed, langid, lines, mixing, ranking, secrets, sharding, simhash, suffix, toxicity, warc
+from terrace.llm import decontam, embed, langid, lines, mixing, prefixes, ranking, secrets, sharding, simhash, suffix, toxicity, warc
 from terrace.llm.common import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -93,3 +93,9 @@ def op13_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op12_ranking(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The best documents of every benchmark item."""
     return ranking.best_documents(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
+@query(prefixes.SQL)
+def op11_prefixes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every node of the prefix trie of rebuilt conversations."""
+    return prefixes.prefix_nodes(table(spark, sf_dir, "conversations"))
