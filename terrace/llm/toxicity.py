@@ -7,15 +7,18 @@ of the log-odds, ``BOUND`` standard errors down, of the best of these, and zero
 over ``LEAST``. Every token also costs ``DRIFT``, so scores fall on average.
 
 One linear scan then finds all maximal-scoring segments of a text: the runs that no shorter
-or longer run beats. Scores of such segments follow an extreme-value law: a segment with
-score ``S`` in ``n`` tokens is expected ``K n exp(-lambda S)`` times by chance, with
-``lambda`` from the token scores of the documents that are not toxic. Segments expected less
-than once are significant passages; their evidence, ``lambda S - log(K n)``, is added up.
-The sum becomes a probability by isotonic regression on the training rows, each scored with
-a model that was learned from the other half of them.
-
-Token counts come from all labelled training rows. Only tokens whose score counts come to
-the driver, at most ``MODEL_SIZE`` of them, the best first.
+or longer run beats. Scores of such segments follow an extreme-value law: segments with a
+score over ``S`` are expected ``K n exp(-lambda S)`` times in ``n`` tokens by chance, with
+``lambda`` from the token scores of the documents that are not toxic and ``K`` from the
+segments counted in those of the training rows. Segments expected less than once are
+significant passages; their evidence, ``lambda S - log(K n)``, is added up. The sum becomes a
+probability by isotonic regression on the training rows, each scored with a model that was
+learned from the other half of them; between the points of the regression and beyond them the
+score keeps rising, so more evidence always scores higher.
+
+Token counts come from all labelled training rows, and every token whose score counts is in the
+model. A model of at most ``MODEL_BYTES`` is shipped with the tasks; of a larger one every text
+gets the tokens that it holds by a join.
 """
 
 from __future__ import annotations
@@ -40,9 +43,11 @@ PRIOR = 1.0  # weight of the prior, in sizes of the toxic part
 BOUND = 1.64
 LEAST = 1.0
 DRIFT = 0.1
-K = 0.1
+LONG = 2.0  # lambda S from which on segments are counted for K
 THRESHOLD = 0.7
-MODEL_SIZE = 100_000
+MODEL_BYTES = 32 << 20
+STEP = 1e-3  # of token scores, where lambda is fitted
+RISE = 0.02  # share of the score that rises with the evidence everywhere
 MAP_BITS = 20
 BIN, LOWEST, HIGHEST = 0.5, -15.0, 60.0
 CHUNK = 1 << 22
@@ -59,7 +64,14 @@ def _powers(base: np.uint64, n: int) -> np.ndarray:
     return np.multiply.accumulate(out)
 
 
-_UP, _DOWN = _powers(_BASE, CHUNK + 4096), _powers(_INVERSE, CHUNK + 4096)
+_tables: dict[str, np.ndarray] = {}
+
+
+def _both_powers(n: int) -> tuple[np.ndarray, np.ndarray]:
+    """Powers of the base and of its inverse, made where they are used."""
+    if len(_tables.get("up", ())) < n:
+        _tables["up"], _tables["down"] = _powers(_BASE, max(n, 1 << 16)), _powers(_INVERSE, max(n, 1 << 16))
+    return _tables["up"], _tables["down"]
 
 
 def _mix(x: np.ndarray) -> np.ndarray:
@@ -74,10 +86,7 @@ def _units_of(block: bytes) -> np.ndarray:
     word = _WORD[data]
     edge = np.flatnonzero(np.diff(np.concatenate([[False], word, [False]]).astype(np.int8)))
     start, end = edge[::2], edge[1::2]
-    if len(data) > len(_UP):
-        up, down = _powers(_BASE, len(data)), _powers(_INVERSE, len(data))
-    else:
-        up, down = _UP, _DOWN
+    up, down = _both_powers(len(data))
     sums = np.zeros(len(data) + 1, dtype=np.uint64)
     np.cumsum((data.astype(np.uint64) + np.uint64(1)) * up[: len(data)], out=sums[1:])
     units = np.zeros((len(start), 1 + len(PREFIXES)), dtype=np.uint64)
@@ -118,19 +127,20 @@ def _count(batch: pa.RecordBatch) -> Iterator[dict]:
     yield {"unit": names.view(np.int64), **{c: counts[:, i].astype(np.int64) for i, c in enumerate(("t0", "c0", "t2", "c2"))}}
 
 
-def _bounds(t: np.ndarray, c: np.ndarray, nt: float, nc: float) -> np.ndarray:
-    """Lower bound of the log-odds with the Dirichlet prior."""
+def _bound(t: Column, c: Column, nt: float, nc: float) -> Column:
+    """Lower bound of the log-odds with the Dirichlet prior; zero below ``LEAST``."""
+    nt, nc = max(nt, 1.0), max(nc, 1.0)
     prior = PRIOR * nt
-    a = np.maximum(prior * (t + c) / max(1.0, nt + nc), 1e-9)
-    odds = np.log((t + a) / (nt + prior)) - np.log((c + a) / (nc + prior))
-    return odds - BOUND * np.sqrt(1 / (t + a) + 1 / (c + a))
+    a = F.greatest(F.lit(prior) * (t + c) / (nt + nc), F.lit(1e-9))
+    odds = F.log((t + a) / (nt + prior)) - F.log((c + a) / (nc + prior))
+    bound = odds - BOUND * F.sqrt(1 / (t + a) + 1 / (c + a))
+    return F.when(bound >= LEAST, bound).otherwise(0.0)
 
 
 @dataclass
 class Model:
     unit: np.ndarray  # sorted hashes
     score: np.ndarray  # one column: learned from all, from fold 0, from fold 2
-    rate: np.ndarray  # lambda of each column
 
     def look_up(self, found: np.ndarray, column: int) -> np.ndarray:
         """Score of each token: the best of its units."""
@@ -150,8 +160,12 @@ class Model:
         self.mark[self.unit >> np.uint64(64 - MAP_BITS)] = True
 
 
+SCORES = ("all", "fold0", "fold2")
+
+
 def _rate(score: np.ndarray, clean: np.ndarray, total: float) -> float:
-    """The lambda at which the mean of exp(lambda * score) over clean tokens is one."""
+    """The lambda at which the mean of exp(lambda * score) over clean tokens is one; ``clean``
+    of them have each ``score``, the others of ``total`` have none."""
     p = (clean + 1.0 / max(1, len(clean))) / (total + 1)
     low, high = 1e-3, 20.0
     for _ in range(60):
@@ -161,8 +175,10 @@ def _rate(score: np.ndarray, clean: np.ndarray, total: float) -> float:
     return low
 
 
-def learn(docs: DataFrame, labels: DataFrame) -> tuple[Model, DataFrame]:
-    """The model, and the labels it may use as kept rows ``(doc_id, toxic, fold)``."""
+def learn(docs: DataFrame, labels: DataFrame) -> tuple[DataFrame, list[float], DataFrame]:
+    """The model as kept rows ``(unit, all, fold0, fold2)`` of scores learned from all training
+    rows and from either half, lambda of each, and the labels it may use as kept rows
+    ``(doc_id, toxic, fold)``."""
     known = keep(
         labels.filter((remainder(3) != 1) & F.col("toxic").isNotNull() & F.col("doc_id").isNotNull())
         .groupBy("doc_id")
@@ -176,31 +192,21 @@ def learn(docs: DataFrame, labels: DataFrame) -> tuple[Model, DataFrame]:
     counts = keep(counts.groupBy("unit").agg(*[F.sum(c).alias(c) for c in names]), "toxicity-units")
     total = counts.agg(*[F.sum(c).alias(c) for c in names]).collect()[0]
     n = {c: float(total[c] or 0) for c in names}
-    t, c = F.col("t0") + F.col("t2"), F.col("c0") + F.col("c2")
-    nt, nc = n["t0"] + n["t2"], n["c0"] + n["c2"]
-    prior = PRIOR * nt
-    a = F.greatest(F.lit(prior) * (t + c) / max(1.0, nt + nc), F.lit(1e-9))
-    bound = F.log((t + a) / (nt + prior)) - F.log((c + a) / (nc + prior)) - BOUND * F.sqrt(1 / (t + a) + 1 / (c + a))
-    good = (
+    t0, c0, t2, c2 = (F.col(c) for c in names)
+    sides = [(t0 + t2, c0 + c2, n["t0"] + n["t2"], n["c0"] + n["c2"]), (t0, c0, n["t0"], n["c0"]), (t2, c2, n["t2"], n["c2"])]
+    model = keep(
         counts.filter("t0 + t2 > 1")
-        .withColumn("bound", bound)
-        .filter(F.col("bound") >= LEAST)
-        .orderBy(F.desc("bound"), "unit")
-        .limit(MODEL_SIZE)
-        .select("unit", *names)
-        .toArrow()
+        .select("unit", "c0", "c2", *[_bound(*side).alias(s) for s, side in zip(SCORES, sides, strict=True)])
+        .filter(F.col("all") > 0),
+        "toxicity-model",
     )
-    unit = good.column("unit").to_numpy().view(np.uint64)
-    order = np.argsort(unit)
-    v = {k: good.column(k).to_numpy()[order].astype(float) for k in names}
-    sides = [(v["t0"] + v["t2"], v["c0"] + v["c2"], nt, nc), (v["t0"], v["c0"], n["t0"], n["c0"]), (v["t2"], v["c2"], n["t2"], n["c2"])]
-    scores, rates = [], []
-    for tt, cc, mt, mc in sides:
-        s = _bounds(tt, cc, max(mt, 1.0), max(mc, 1.0)) if len(tt) else np.zeros(0)
-        s = np.where(s >= LEAST, s, 0.0)
-        scores.append(s)
-        rates.append(_rate(s, cc, mc))
-    return Model(unit[order], np.stack(scores, axis=1), np.array(rates)), known
+    rates = []
+    for s, clean, all_clean in zip(SCORES, ("c0 + c2", "c0", "c2"), (side[3] for side in sides), strict=True):
+        # Scores are below 50: a bounded number of steps.
+        steps = model.groupBy(F.round(F.col(s) / STEP).alias("step")).agg(F.sum(F.expr(clean)).alias("n")).collect()
+        score, clean_n = np.array([r["step"] * STEP for r in steps]), np.array([float(r["n"]) for r in steps])
+        rates.append(_rate(score, clean_n, all_clean))
+    return model.select("unit", *SCORES), rates, known
 
 
 def segments(score: np.ndarray) -> list[tuple[int, int, float]]:
@@ -227,111 +233,152 @@ def segments(score: np.ndarray) -> list[tuple[int, int, float]]:
     return [(a, b, high - low) for a, b, low, high, _ in out]
 
 
-def evidence(score: np.ndarray, rate: float) -> tuple[float, list[tuple[int, int, float]]]:
-    """Added evidence of the significant passages (first, last, evidence) of one text; below
-    zero, the best there is without any."""
-    chance = np.log(K * max(1, len(score)) + 1)
-    found = [(a, b, rate * s - chance) for a, b, s in segments(score)]
-    good = [x for x in found if x[2] > 0]
-    if good:
-        return min(HIGHEST, sum(x[2] for x in good)), good
-    return max([LOWEST, *(x[2] for x in found)]), []
+def _model(unit: pa.Array, scores: list[pa.Array]) -> Model:
+    unit = unit.to_numpy().view(np.uint64)
+    order = np.argsort(unit)
+    return Model(unit[order], np.stack([s.to_numpy()[order] for s in scores], axis=1) if len(unit) else np.zeros((0, 3)))
 
 
-def _scorer(model: Model):
+def _held(batch: pa.RecordBatch) -> Iterator[dict]:
+    """The distinct units of each text."""
+    row, found = [], []
+    for i, text in enumerate(batch.column("text").to_pylist()):
+        each = [np.unique(u) for u in units(text)]
+        mine = np.unique(np.concatenate(each)) if each else np.zeros(0, dtype=np.uint64)
+        row.append(np.full(len(mine), i))
+        found.append(mine)
+    row = pa.array(np.concatenate(row) if row else np.zeros(0, dtype=np.int64))
+    yield {
+        "doc_id": batch.column("doc_id").take(row),
+        "key": batch.column("key").take(row),
+        "unit": np.concatenate(found).view(np.int64) if found else np.zeros(0, dtype=np.int64),
+    }
+
+
+_SEGMENTS = pa.list_(pa.struct([("first", pa.int32()), ("last", pa.int32()), ("score", pa.float64())]))
+
+
+def _scorer(model: Model | None, rates: list[float]):
+    """Number of tokens and maximal segments of each text, their scores times lambda; ``crossed``
+    by the model of the other half, for training rows. Without ``model``, rows bring theirs."""
+
     def run(batch: pa.RecordBatch) -> Iterator[dict]:
         folds = batch.column("fold").to_pylist()
-        x, cross, passages = [], [], []
-        for text, fold in zip(batch.column("text").to_pylist(), folds, strict=True):
-            found = list(units(text))
-            score = np.concatenate([model.look_up(u, 0) for u in found]) - DRIFT if found else np.zeros(0)
-            value, good = evidence(score, model.rate[0])
-            x.append(value)
-            passages.append([{"first": a, "last": b, "evidence": e} for a, b, e in good])
-            if fold is None:
-                cross.append(None)
-            else:  # with the model of the other half
-                side = 2 if fold == 0 else 1
-                score = np.concatenate([model.look_up(u, side) for u in found]) - DRIFT if found else score
-                cross.append(evidence(score, model.rate[side])[0])
+        own = None if model else batch.column("units")
+        n, found, crossed = [], [], []
+        for i, (text, fold) in enumerate(zip(batch.column("text").to_pylist(), folds, strict=True)):
+            if model:
+                here = model
+            else:
+                mine = own[i].values
+                here = _model(*([mine.field("unit"), [mine.field(s) for s in SCORES]] if mine is not None else [pa.array([], pa.int64()), []]))
+            tokens = list(units(text))
+            n.append(sum(len(u) for u in tokens))
+
+            def passages(column: int, tokens=tokens, here=here) -> list[dict]:
+                score = np.concatenate([here.look_up(u, column) for u in tokens]) - DRIFT if tokens else np.zeros(0)
+                return [{"first": a, "last": b, "score": rates[column] * s} for a, b, s in segments(score)]
+
+            found.append(passages(0))
+            crossed.append(None if fold is None else passages(2 if fold == 0 else 1))
         yield {
-            "doc_id": batch.column("doc_id"),
-            "key": batch.column("key"),
-            "held_out": batch.column("held_out"),
-            "toxic": batch.column("toxic"),
-            "x": pa.array(x, pa.float64()),
-            "crossed": pa.array(cross, pa.float64()),
-            "passages": pa.array(passages, pa.list_(pa.struct([("first", pa.int32()), ("last", pa.int32()), ("evidence", pa.float64())]))),
+            **{c: batch.column(c) for c in ("doc_id", "key", "held_out", "toxic")},
+            "n": pa.array(n, pa.int64()),
+            "found": pa.array(found, _SEGMENTS),
+            "crossed": pa.array(crossed, _SEGMENTS),
         }
 
     return run
 
 
-def calibration(bins: np.ndarray, bad: np.ndarray, all_: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Isotonic regression of the toxic share by bin, with half a row of either kind added to
-    each pooled block: ``(x, probability)`` points to interpolate between."""
-    blocks: list[list[float]] = []
-    for x, b, n in sorted(zip(bins, bad, all_, strict=True)):
-        blocks.append([b, n, x, x])
-        while len(blocks) > 1 and blocks[-2][0] / blocks[-2][1] >= blocks[-1][0] / blocks[-1][1]:
-            b2, n2, _, high = blocks.pop()
-            blocks[-1][0] += b2
-            blocks[-1][1] += n2
-            blocks[-1][3] = high
-    xs, ps = [], []
-    for b, n, low, high in blocks:
-        xs += [low, high + 1e-9]
-        ps += [(b + 0.5) / (n + 1)] * 2
-    return np.array(xs), np.maximum.accumulate(np.array(ps)) if ps else np.array(ps)
+def _evidence(found: str, k: float) -> tuple[Column, Column]:
+    """Added evidence of a text's significant passages, or of its best segment where none is
+    significant, and those passages."""
+    chance = F.log(k * F.greatest(F.col("n"), F.lit(1)) + 1)
+    each = F.transform(found, lambda s: F.struct(s["first"].alias("first"), s["last"].alias("last"), (s["score"] - chance).alias("evidence")))
+    good = F.filter(each, lambda s: s["evidence"] > 0)
+    added = F.aggregate(good, F.lit(0.0), lambda x, s: x + s["evidence"])
+    best = F.coalesce(F.array_max(F.transform(each, lambda s: s["evidence"])), -chance)
+    return F.when(F.size(good) > 0, added).otherwise(best), good
 
 
-def _bin(x: Column) -> Column:
-    return F.round(x / BIN) * BIN
+def calibration(x: np.ndarray, bad: np.ndarray, all_: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Isotonic regression of the toxic share by mean evidence of bins, with half a row of either
+    kind added to each pooled block: ``(x, probability)`` points in the middle of the blocks."""
+    blocks: list[list[float]] = []
+    for at, b, n in sorted(zip(x, bad, all_, strict=True)):
+        blocks.append([b, n, at * n])
+        while len(blocks) > 1 and blocks[-2][0] / blocks[-2][1] >= blocks[-1][0] / blocks[-1][1]:
+            last = blocks.pop()
+            blocks[-1] = [u + v for u, v in zip(blocks[-1], last, strict=True)]
+    xs = np.array([at / n for _, n, at in blocks])
+    ps = np.array([(b + 0.5) / (n + 1) for b, n, _ in blocks])
+    return xs, np.maximum.accumulate(ps) if len(ps) else ps
 
 
-def score(docs: DataFrame, labels: DataFrame, keyed: bool = False) -> DataFrame:
+def score(docs: DataFrame, labels: DataFrame, keyed: bool = False, model_bytes: int = MODEL_BYTES) -> DataFrame:
     """One row per document: ``doc_id, held_out, score, predicted, passages``.
 
     Labels of rows whose crc32(doc_id) modulo 3 is not 1 are learned from (a document with
     several labels is toxic if one says so). ``passages`` holds first and last word number
-    and evidence of each significant passage. Null and empty texts have no evidence and get
-    the score of such rows; without any training rows every score is 0.5 at most. A null
+    and evidence of each significant passage. Of two texts the one with more evidence scores
+    higher; equal evidence scores alike. Null and empty texts have no evidence and get
+    the score of such rows; without any training rows every score is about 0.5. A null
     doc_id is not held out and has no label. Repeated rows stay; an empty table gives no
     rows. Other columns are not read. With ``keyed``, ``key`` (xxhash64 of the text) is added,
     for rows whose doc_id is null or repeated.
     """
-    model, known = learn(docs, labels)
+    model, rates, known = learn(docs, labels)
     kind = docs.schema["doc_id"].dataType.simpleString()
     rows = (
         docs.select("doc_id", F.xxhash64("text").alias("key"), F.col("text").cast("binary").alias("text"))
         .join(small(known), "doc_id", "left")
         .withColumn("held_out", F.coalesce(remainder(3) == 1, F.lit(False)))
     )
+    shipped = None
+    if model.count() * 8 * (1 + len(SCORES)) <= model_bytes:
+        table = model.toArrow()
+        shipped = _model(table.column("unit"), [table.column(s) for s in SCORES])
+    else:
+        held = by_batch(rows, _held, f"doc_id {kind}, key long, unit long").join(model, "unit")
+        # The tokens of one text that count; rows that repeat it ask for the same ones.
+        held = held.groupBy("doc_id", "key").agg(F.collect_set(F.struct("unit", *SCORES)).alias("units"))
+        same = F.col("r.doc_id").eqNullSafe(F.col("h.doc_id")) & (F.col("r.key") == F.col("h.key"))
+        rows = rows.alias("r").join(held.alias("h"), same, "left").select("r.*", "h.units")
+    segment = "array<struct<first: int, last: int, score: double>>"
     found = keep(
         by_batch(
             rows,
-            _scorer(model),
-            f"doc_id {kind}, key long, held_out boolean, toxic int, x double, crossed double, "
-            "passages array<struct<first: int, last: int, evidence: double>>",
+            _scorer(shipped, rates),
+            f"doc_id {kind}, key long, held_out boolean, toxic int, n long, found {segment}, crossed {segment}",
         ),
-        "toxicity-evidence",
+        "toxicity-segments",
     )
+    clean = found.filter("toxic <> 1")
+    seen = clean.agg(F.sum(F.size(F.filter("crossed", lambda s: s["score"] > LONG))).alias("long"), F.sum("n").alias("n")).collect()[0]
+    k = ((seen["long"] or 0) + 1) * float(np.exp(LONG)) / ((seen["n"] or 0) + 1)
     # One row per bin.
-    bins = found.filter("toxic IS NOT NULL").groupBy(_bin(F.col("crossed")).alias("bin")).agg(F.sum("toxic").alias("bad"), F.count("*").alias("n")).collect()
-    xs, ps = calibration(*[np.array([float(r[i]) for r in bins]) for i in range(3)])
+    x, _ = _evidence("crossed", k)
+    trained = found.filter("toxic IS NOT NULL").select("toxic", x.alias("x"))
+    place = F.round(F.least(F.greatest("x", F.lit(LOWEST)), F.lit(HIGHEST)) / BIN)
+    bins = trained.groupBy(place.alias("bin")).agg(F.avg("x").alias("x"), F.sum("toxic").alias("bad"), F.count("*").alias("n")).collect()
+    xs, ps = calibration(*[np.array([float(r[c]) for r in bins]) for c in ("x", "bad", "n")])
     if not len(xs):
-        xs, ps = np.array([0.0, 1.0]), np.array([0.5, 0.5])
+        xs, ps = np.array([0.0]), np.array([0.5])
+    x, passages = _evidence("found", k)
     key = ["key"] if keyed else []
-    return found.select("doc_id", "held_out", _interpolated(_bin(F.col("x")), xs, ps).alias("score"), "passages", *key).select(
+    out = found.select("doc_id", "held_out", x.alias("x"), passages.alias("passages"), *key)
+    return out.select("doc_id", "held_out", _probability(F.col("x"), xs, ps).alias("score"), "passages", *key).select(
         "doc_id", "held_out", "score", (F.col("score") >= THRESHOLD).cast("int").alias("predicted"), "passages", *key
     )
 
 
-def _interpolated(x: Column, xs: np.ndarray, ps: np.ndarray) -> Column:
-    """Piecewise linear function of ``x`` (few points, one per block of bins)."""
+def _probability(x: Column, xs: np.ndarray, ps: np.ndarray) -> Column:
+    """Linear between the points (few, one per block of bins), level beyond them; a small share
+    rises with the evidence everywhere."""
     value = F.lit(float(ps[-1]))
     for i in range(len(xs) - 2, -1, -1):
         run = max(1e-12, float(xs[i + 1] - xs[i]))
         here = F.lit(float(ps[i])) + (x - float(xs[i])) * float((ps[i + 1] - ps[i]) / run)
         value = F.when(x <= float(xs[i]), F.lit(float(ps[i]))).when(x < float(xs[i + 1]), here).otherwise(value)
-    return value
+    return (1 - RISE) * value + RISE / (1 + F.exp(-x / 10))

@@ -29,7 +29,7 @@ def test_query_against_sql(spark, con, name):
 
 
 def test_registered():
-    assert {re.match(r"op\d+", k)[0] for k in QUERIES} == {f"op{i}" for i in range(1, 11)}
+    assert {re.match(r"op\d+", k)[0] for k in QUERIES} == {f"op{i}" for i in range(1, 14)}
     assert "pipeline" in contract.queries()
 
 
