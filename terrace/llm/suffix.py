@@ -21,7 +21,7 @@ as two anchors with the same gram, one in about 85 bytes; nothing is missed.
    anchors are counted by a 128-bit digest in a further shuffle instead.
 
 Texts are shuffled once (both joins read the same exchange); contexts only where grams
-repeat.
+repeat. Rows that repeat a doc_id and its text are counted first; one of them takes part.
 """
 
 from __future__ import annotations
@@ -36,7 +36,7 @@ from pyspark import cloudpickle
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from terrace.llm.common import by_batch, by_runs, parts
+from terrace.llm.common import by_batch, by_runs, keep, parts, small
 
 cloudpickle.register_pickle_by_value(sys.modules[__name__])
 
@@ -270,27 +270,42 @@ def blind_trie_order(rows: list[bytes], skip: int) -> list[int]:
     return out
 
 
+def multikey_quicksort(words: np.ndarray, group: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Order of rows of words by group and content, and the number of the group of equal rows
+    each place is in. All groups that still tie are split in three at once: by a pivot (the
+    median of three) into rows whose word at the group's depth is less, equal and greater; the
+    equal ones go on with the next word."""
+    n, deep = words.shape
+    order = np.argsort(group, kind="stable")
+    gid = group[order]
+    gid = np.cumsum(np.concatenate([[0], gid[1:] != gid[:-1]]))[:n]
+    level = np.zeros(n, dtype=np.int64)
+    while True:
+        at = np.flatnonzero((np.bincount(gid, minlength=1)[gid] > 1) & (level < deep))
+        if not len(at):
+            return order, gid
+        g, w = gid[at], words[order[at], level[at]]
+        start = np.flatnonzero(np.concatenate([[True], g[1:] != g[:-1]]))
+        count = np.diff(np.append(start, len(g)))
+        a, b, c = w[start], w[start + count // 2], w[start + count - 1]
+        pivot = np.repeat(np.maximum(np.minimum(a, b), np.minimum(np.maximum(a, b), c)), count)
+        part = 3 * g + (w >= pivot) + (w > pivot)
+        by = np.argsort(part, kind="stable")
+        part = part[by]
+        order[at] = order[at][by]
+        level[at] += part % 3 == 1
+        fresh = np.concatenate([[False], gid[1:] != gid[:-1]])
+        fresh[at[1:]] |= part[1:] != part[:-1]
+        gid = np.cumsum(fresh)
+
+
 def deep_shallow(rows: np.ndarray, group: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """Order of byte rows by group and content, and the common prefix of each with the one
     before it in that order."""
     n, width = rows.shape
     wide = np.zeros((n, -(-width // 8) * 8), dtype=np.uint8)
     wide[:, :width] = rows
-    words = wide.view(">u8")
-    order = np.argsort(group, kind="stable")
-    gid = group[order].astype(np.int64)
-    gid = np.cumsum(np.concatenate([[0], gid[1:] != gid[:-1]]))
-    for d in range(SHALLOW // 8):
-        tied = np.bincount(gid)[gid] > 1
-        at = np.flatnonzero(tied)
-        if not len(at):
-            break
-        w = words[order[at], d].astype(np.uint64)
-        by = np.lexsort((w, gid[at]))
-        order[at], w = order[at][by], w[by]
-        part = np.zeros(n, dtype=bool)
-        part[at[1:]] = w[1:] != w[:-1]
-        gid = np.cumsum(part | np.concatenate([[False], gid[1:] != gid[:-1]]))
+    order, gid = multikey_quicksort(wide.view(">u8")[:, : SHALLOW // 8].astype(np.uint64), group)
     size = np.bincount(gid) if n else np.zeros(0, dtype=int)
     ends = np.cumsum(size)
     for g in np.flatnonzero(size > 1):
@@ -350,15 +365,14 @@ def _columns(rows: pa.Table) -> tuple[np.ndarray, ...]:
 
 
 def _stretches(rows: pa.Table, start: np.ndarray, stop: np.ndarray) -> dict:
-    """Rows of stretches that count as they are, dealt evenly."""
-    spread = _mix(rows.column("th").to_numpy().view(np.uint64) ^ start.astype(np.uint64))
+    """Rows of stretches that count as they are."""
     return {
         "doc_id": rows.column("doc_id").combine_chunks(),
         "th": rows.column("th").combine_chunks(),
         "start": start,
         "stop": stop,
         "hot": np.zeros(len(start), dtype=bool),
-        "w1": spread.view(np.int64),
+        "w1": np.zeros(len(start), dtype=np.int64),
         "w2": np.zeros(len(start), dtype=np.int64),
     }
 
@@ -446,17 +460,25 @@ def repeats(docs: DataFrame, hot_run: int = HOT_RUN) -> tuple[DataFrame, DataFra
     rows with one doc_id apart."""
     kind = docs.schema["doc_id"].dataType.simpleString()
     texts = docs.select("doc_id", F.xxhash64("text").alias("th"), F.coalesce("text", F.lit("")).cast("binary").alias("text"))
-    grams = by_batch(texts, _gram_rows, f"key long, gram long, kind byte, doc_id {kind}, th long")
+    # A row that another repeats, doc_id and text, loses all bytes; one of them stands for all.
+    names = texts.groupBy("doc_id", "th").agg(F.count("*").alias("n"), F.max(F.octet_length("text")).alias("size"))
+    again = keep(names.filter("n > 1").select("doc_id", "th", "size"), "suffix-again")
+    once = texts
+    if some := not again.isEmpty():
+        few = small(again)
+        same = texts.alias("t"), few.alias("a"), _same("t", "a")
+        once = same[0].join(*same[1:], "left_anti").unionByName(same[0].join(*same[1:], "left_semi").dropDuplicates(["doc_id", "th"]))
+    grams = by_batch(once, _gram_rows, f"key long, gram long, kind byte, doc_id {kind}, th long")
     same = Window.partitionBy("key")
     wanted = (
         grams.withColumn("n", F.count("*").over(same)).withColumn("top", F.max("kind").over(same))
         .filter("kind = 1 OR (kind = 0 AND (n > 1 OR top = 2))")
         .select("doc_id", "th", F.coalesce("gram", "key").alias("gram"))
         .groupBy("doc_id", "th")
-        .agg(F.collect_list("gram").alias("grams"))
+        .agg(F.collect_set("gram").alias("grams"))
     )
     asked = (
-        texts.alias("t").join(wanted.alias("w"), _same("t", "w"), "left")
+        once.alias("t").join(wanted.alias("w"), _same("t", "w"), "left")
         .select("t.doc_id", "t.th", "t.text", "w.grams").filter("grams IS NOT NULL")
     )
     contexts = by_batch(
@@ -473,16 +495,23 @@ def repeats(docs: DataFrame, hot_run: int = HOT_RUN) -> tuple[DataFrame, DataFra
         hot_run,
         _hot_windows,
     )
-    equal = Window.partitionBy("w1", "w2")
-    found = found.withColumn("n", F.count("*").over(equal)).filter("NOT hot OR n > 1")
-    return texts, found.select("doc_id", "th", "start", "stop")
+    found = keep(found, "suffix-stretches")
+    direct, hot = found.filter("NOT hot"), found.filter("hot")
+    stretches = direct.select("doc_id", "th", "start", "stop")
+    if not hot.isEmpty():
+        twice = hot.groupBy("w1", "w2").agg(F.count("*").alias("n")).filter("n > 1")
+        stretches = stretches.unionByName(hot.join(twice, ["w1", "w2"]).select("doc_id", "th", "start", "stop"))
+    if some:
+        whole = again.filter(F.col("size") >= SPAN)
+        stretches = stretches.unionByName(whole.select("doc_id", "th", F.lit(0).cast("long").alias("start"), F.col("size").cast("long").alias("stop")))
+    return texts, stretches
 
 
 def without_repeats(docs: DataFrame, hot_run: int = HOT_RUN) -> DataFrame:
     """One row per document: ``doc_id, n_bytes, n_removed, n_spans, kept_sha256``.
 
-    Null text is empty; texts under 200 bytes lose nothing. Repeated rows repeat each other
-    and lose all bytes if they are long enough. An empty table gives no rows; other columns
+    Null text is empty; texts under 200 bytes lose nothing. Rows that repeat another, null
+    doc_ids too, lose all bytes if they are long enough, at a cost that grows with their number. An empty table gives no rows; other columns
     are not read.
     """
     kind = docs.schema["doc_id"].dataType.simpleString()

@@ -254,3 +254,15 @@ def test_same_id_different_texts(spark):
     docs = spark.createDataFrame([(1, p), (1, "x" + p[:200]), (None, "q")], "doc_id long, text string")
     got = sorted((r.n_bytes, r.n_removed) for r in suffix.without_repeats(docs).collect())
     assert got == [(1, 0), (201, 200), (300, 300)]
+
+
+def test_many_rows_repeat_one_id_and_text(spark):
+    rng = random.Random(12)
+    noise = lambda n: "".join(rng.choice("abcdefgh ") for _ in range(n))
+    long, part = noise(4000), noise(300)
+    rows = [(None, long)] * 1500 + [(7, noise(500) + part)] * 700 + [(8, part + noise(900)), (9, long[100:700]), (9, long[100:700]), (10, "short"), (10, "short")]
+    rows += [(11, noise(450)), (None, noise(450))]
+    got = suffix.without_repeats(spark.createDataFrame(rows, "doc_id long, text string").repartition(8)).collect()
+    want = plain_removed([t.encode() for _, t in rows])
+    assert sorted(tuple(r)[1:] for r in got) == sorted(want)
+    assert {r.doc_id: r.n_removed for r in got}[8] == 300
