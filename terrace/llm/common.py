@@ -26,7 +26,18 @@ def keep(df: DataFrame, name: str) -> DataFrame:
     once, and survives lost executors."""
     spark, path = df.sparkSession, new_dir(df.sparkSession, name)
     df.write.parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
+    kept = spark.read.schema(df.schema).parquet(path)
+    kept.kept_at = path
+    return kept
+
+
+def forget(*kept: DataFrame) -> None:
+    """Remove kept tables that nothing reads any more."""
+    for df in kept:
+        if path := getattr(df, "kept_at", None):
+            spark = df.sparkSession
+            at = spark._jvm.org.apache.hadoop.fs.Path(path)
+            at.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(at, True)
 
 
 def parts(spark: SparkSession) -> int:
@@ -120,7 +131,8 @@ def ranked(df: DataFrame, order: Sequence[str], name: str) -> DataFrame:
 def components(edges: DataFrame, name: str) -> DataFrame:
     """Smallest node of each connected component: rows ``(node, root)`` for every node of
     ``edges (a, b)``, by alternating large-star and small-star steps. Each step is two
-    joins over the links; a node with many links is never gathered."""
+    joins over the links; a node with many links is never gathered. Only the links of the last
+    step stay on disk."""
     edges = keep(
         edges.filter("a <> b").select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).distinct(),
         name,
@@ -144,7 +156,8 @@ def components(edges: DataFrame, name: str) -> DataFrame:
         small = small.select(F.col("b").alias("a"), F.col("m").alias("b")).unionByName(
             least.select("a", F.col("m").alias("b"))
         )
-        edges = keep(small.filter("a <> b").distinct(), name)
+        before, edges = edges, keep(small.filter("a <> b").distinct(), name)
+        forget(before)
 
 
 SMALL_BYTES = 32 << 20

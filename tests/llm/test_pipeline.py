@@ -68,11 +68,34 @@ def test_near_copies_by_brute_force(spark):
     check_groups(spark, texts_with_copies(random.Random(5)))
 
 
-def test_near_copies_when_every_pair_is_left_to_the_end(spark, monkeypatch):
-    monkeypatch.setattr(similar, "STAR_ROUNDS", 0)
+def test_other_near_copies_by_brute_force(spark):
     check_groups(spark, texts_with_copies(random.Random(6)))
 
 
+def test_pairs_of_loosely_similar_texts_stay_in_proportion(spark, monkeypatch):
+    """Copies of one text with noise of all degrees: most pairs are not similar enough."""
+    rng, verified = random.Random(7), []
+    base = [f"w{rng.randrange(400)}" for _ in range(150)]
+    texts = []
+    for i in range(400):
+        other = list(base)
+        for _ in range(i // 40):
+            other[rng.randrange(150)] = f"x{rng.randrange(10**6)}"
+        texts.append(" ".join(other))
+    counted = similar._verified
+    monkeypatch.setattr(similar, "_verified", lambda pairs, sets: verified.append(pairs.count()) or counted(pairs, sets))
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    roots = {r.node: r.root for r in similar.groups(docs).collect()}
+    nodes = {r.doc_id: r.node for r in docs.select("doc_id", similar.node_of("text").alias("node")).collect()}
+    size = {}
+    for node in nodes.values():
+        size[roots.get(node, node)] = size.get(roots.get(node, node), 0) + 1
+    linked = {i for g in plain_groups(texts) if len(g) > 1 for i in g}
+    found = {i for i, node in nodes.items() if size[roots.get(node, node)] > 1}
+    assert found <= linked and len(found) >= 0.95 * len(linked)
+    assert sum(verified) < 400 * similar.BANDS * 3
+
+
 def test_dedup_by_text_not_by_id(spark):
     a = " ".join(f"a{i}" for i in range(40))
     near, b, c = a + " end", "another text of its own words", "a third text of its own words"
