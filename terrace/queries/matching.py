@@ -9,32 +9,64 @@ from terrace.operators.resolve import resolve
 from terrace.queries.base import query, table
 from terrace.sources.places import shared_dir
 
-# Trigrams with numbered repeats, weighed by how few masters have them, Dice scores of the
-# weights and the top five per name, from `asked(name)` and `masters(id, name)`. A name that
-# equals masters has only those as candidates.
-_SCORES = r"""
+def _ratio(a: str, b: str) -> str:
+    return f"CASE WHEN greatest(length({a}), length({b})) > 0 THEN 1 - levenshtein({a}, {b})::DOUBLE / greatest(length({a}), length({b})) ELSE 0 END"
+
+
+def _less(a: str, b: str) -> str:
+    return f"list_sort(list_filter(list_distinct({a}), lambda w: NOT list_contains({b}, w)))"
+
+
+# Candidates (over half of the lighter name's word weight shared, or a Dice coefficient of the
+# trigrams' weights of 45 percent), scored; the top five per name, from `asked(name)` and
+# `masters(id, name)`. A name that equals masters has only those as candidates.
+_SCORES = rf"""
+every AS (SELECT name FROM asked UNION SELECT name FROM masters),
+known AS (SELECT count(DISTINCT name) + 7 AS n FROM masters),
+words AS (SELECT name, unnest(list_distinct(string_split(name, ' '))) AS w FROM every),
+word_uses AS (SELECT w, count(*) AS n FROM words WHERE name IN (SELECT name FROM masters) GROUP BY w),
+weighed AS (
+  SELECT name, w, least(10, length(bin((SELECT n FROM known))) - 1, length(bin((SELECT n FROM known) // coalesce(n, 1))) - 1) AS n
+  FROM words LEFT JOIN word_uses USING (w)),
+word_sizes AS (SELECT name, sum(n) AS n FROM weighed GROUP BY name),
 plain AS (
   SELECT name, gram || row_number() OVER (PARTITION BY name, gram) AS gram FROM (
     SELECT name, substr('  ' || w || ' ', CAST(i AS BIGINT), 3) AS gram
     FROM (SELECT name, w, unnest(range(1, len(w) + 2)) AS i
-          FROM (SELECT name, unnest(string_split(name, ' ')) AS w
-                FROM (SELECT name FROM asked UNION SELECT name FROM masters)) WHERE w <> ''))),
+          FROM (SELECT name, unnest(string_split(name, ' ')) AS w FROM every) WHERE w <> ''))),
 uses AS (SELECT gram, count(*) AS n FROM plain WHERE name IN (SELECT name FROM masters) GROUP BY gram),
 grams AS (
-  SELECT name, gram, least(10, length(bin(((SELECT count(DISTINCT name) FROM masters) + 7) // coalesce(n, 1))) - 1) AS n
+  SELECT name, gram, least(10, length(bin((SELECT n FROM known) // coalesce(n, 1))) - 1) AS n
   FROM plain LEFT JOIN uses USING (gram)),
 sizes AS (SELECT name, sum(n) AS n FROM grams GROUP BY name),
 pairs AS (
-  SELECT a.name, m.name AS master_name, sum(a.n) AS shared
-  FROM grams a JOIN grams m ON a.gram = m.gram
-  WHERE a.n > 0 AND a.name IN (SELECT name FROM asked) AND m.name IN (SELECT name FROM masters)
-  GROUP BY a.name, m.name
-  UNION SELECT name, name, 1 FROM asked WHERE name IN (SELECT name FROM masters)
-    AND name NOT IN (SELECT name FROM grams WHERE n > 0)),
+  SELECT name, master_name FROM (
+    SELECT a.name, m.name AS master_name, sum(a.n) AS shared
+    FROM grams a JOIN grams m ON a.gram = m.gram
+    WHERE a.n > 0 AND a.name IN (SELECT name FROM asked) AND m.name IN (SELECT name FROM masters)
+    GROUP BY a.name, m.name) p
+  JOIN sizes s USING (name) JOIN sizes t ON t.name = master_name
+  WHERE shared * 200.0 / (s.n + t.n) >= 45
+  UNION
+  SELECT name, master_name FROM (
+    SELECT a.name, m.name AS master_name, sum(a.n) AS shared
+    FROM weighed a JOIN weighed m ON a.w = m.w
+    WHERE a.name IN (SELECT name FROM asked) AND m.name IN (SELECT name FROM masters)
+    GROUP BY a.name, m.name) p
+  JOIN word_sizes s USING (name) JOIN word_sizes t ON t.name = master_name
+  WHERE shared * 2 > least(s.n, t.n)
+  UNION SELECT name, name FROM asked WHERE name IN (SELECT name FROM masters)),
+parts AS (
+  SELECT *, array_to_string(list_sort(x), ' ') AS sx, array_to_string(list_sort(y), ' ') AS sy,
+         array_to_string(list_sort(list_intersect(x, y)), ' ') AS core,
+         array_to_string(list_concat(list_sort(list_intersect(x, y)), {_less("x", "y")}), ' ') AS wx,
+         array_to_string(list_concat(list_sort(list_intersect(x, y)), {_less("y", "x")}), ' ') AS wy
+  FROM (SELECT name, master_name, string_split(name, ' ') AS x, string_split(master_name, ' ') AS y FROM pairs)),
 scored AS (
-  SELECT p.name, m.id, p.name = m.name AS is_equal, CASE WHEN p.name = m.name THEN 100.0 ELSE CAST(shared AS DOUBLE) * 200.0 / CAST(s.n + t.n AS DOUBLE) END AS score
-  FROM pairs p JOIN sizes s ON p.name = s.name JOIN sizes t ON p.master_name = t.name
-  JOIN masters m ON m.name = p.master_name),
+  SELECT p.name, m.id, p.name = m.name AS is_equal, CASE WHEN p.name = m.name THEN 100.0::DOUBLE ELSE
+    100 * greatest({_ratio("p.name", "m.name")}, 0.95::DOUBLE * greatest({_ratio("sx", "sy")}, {_ratio("core", "wx")}, {_ratio("core", "wy")}, {_ratio("wx", "wy")}))
+    END AS score
+  FROM parts p JOIN masters m ON m.name = p.master_name),
 top AS (
   SELECT *, row_number() OVER (PARTITION BY name ORDER BY score DESC, id) AS rk
   FROM (SELECT *, bool_or(is_equal) OVER (PARTITION BY name) AS has_equal FROM scored)
