@@ -70,3 +70,16 @@ def swap_text(spark: SparkSession, path: str, text: str) -> None:
         fs.getUri(), spark.sparkContext._jsc.hadoopConfiguration()
     )
     context.rename(fs.makeQualified(beside), fs.makeQualified(at), options)
+
+
+def hidden_dirs(spark: SparkSession, path: str) -> list[str]:
+    """Names of the folders directly below ``path`` that begin with a dot."""
+    fs, at, _ = _fs(spark, path)
+    found = fs.listStatus(at) if fs.exists(at) else []
+    return [s.getPath().getName() for s in found if s.isDirectory() and s.getPath().getName().startswith(".")]
+
+
+def rename(spark: SparkSession, old: str, new: str) -> bool:
+    """Rename a folder to a name that is free."""
+    fs, at, hadoop = _fs(spark, old)
+    return fs.rename(at, hadoop.Path(new))

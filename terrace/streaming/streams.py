@@ -5,13 +5,14 @@ from __future__ import annotations
 import json
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from terrace.operators.shape import latest_per_key, row_order
 from terrace.operators.write import write_merge
 from terrace.sources.places import read_text
+from terrace.sources.topics import read_topic
 
 LATENESS = "30 minutes"
 
@@ -30,17 +31,30 @@ def start_append(
     partition_by: Sequence[str] = (),
     fmt: str = "parquet",
     output_mode: str = "append",
+    per_file: int | None = None,
 ) -> StreamingQuery:
-    """Append a stream to a plain table, exactly once per checkpoint."""
+    """Append a stream to a plain table, exactly once per checkpoint; files of at most
+    ``per_file`` rows."""
     writer = (
         df.writeStream.format(fmt)
         .outputMode(output_mode)
+        .option("maxRecordsPerFile", per_file or 0)
         .option("checkpointLocation", checkpoint)
         .trigger(availableNow=True)
     )
     return (writer.partitionBy(*partition_by) if partition_by else writer).start(path)
 
 
+def start_limited(
+    spark: SparkSession, topic: str, chunks: str, checkpoint: str, records: int, fmt: str = "parquet"
+) -> DataFrame:
+    """A folder topic as a stream of at most ``records`` messages per micro-batch, however large
+    its files are. What is new in the topic is first copied, exactly once per checkpoint, to
+    files of at most so many messages in ``chunks``; the stream takes one of these at a time."""
+    start_append(read_topic(spark, topic, fmt=fmt), chunks, checkpoint, fmt=fmt, per_file=records).awaitTermination()
+    return read_topic(spark, chunks, fmt=fmt, per_trigger=1)
+
+
 def start_upsert(
     df: DataFrame,
     path: str,
@@ -49,13 +63,15 @@ def start_upsert(
     newer_by: str,
     partition_by: Sequence[str] = (),
     fmt: str = "parquet",
+    feed: bool = False,
 ) -> StreamingQuery:
     """Merge a stream into a snapshot table, newest row per key by ``newer_by``.
 
     The stored row takes part in the comparison, so an old row in a later batch does not
     win. The number of a batch is stored with the state together with the query's own id,
     which lives in the checkpoint: a replayed batch changes nothing, and after a reset of
-    the checkpoint all batches count again.
+    the checkpoint all batches count again. With ``feed`` the table has a change feed, so that
+    further streams can read it.
     """
     on = list(dict.fromkeys([*keys, *partition_by]))
     order = [F.col(newer_by).desc_nulls_last(), *row_order(df, skip=(newer_by, *on))]
@@ -64,7 +80,7 @@ def start_upsert(
         if not rows.isEmpty():
             newest = latest_per_key(rows, on, order)
             run = json.loads(read_text(rows.sparkSession, f"{checkpoint}/metadata"))["id"]
-            write_merge(newest, path, keys, partition_by, newer_by, (checkpoint, run, number), fmt)
+            write_merge(newest, path, keys, partition_by, newer_by, (checkpoint, run, number), fmt, feed)
 
     return (
         df.writeStream.foreachBatch(upsert)
