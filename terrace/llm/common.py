@@ -8,7 +8,7 @@ from collections.abc import Callable, Iterator, Sequence
 import numpy as np
 import pyarrow as pa
 from pyspark import cloudpickle
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from terrace.sources.places import new_dir
@@ -31,6 +31,22 @@ def keep(df: DataFrame, name: str) -> DataFrame:
     return kept
 
 
+def boxed(df: DataFrame) -> Column:
+    """All columns of ``df`` as one struct, so that their names clash with nothing; ``select("x.*")``
+    unpacks it."""
+    return F.struct(*[F.col("`" + c.replace("`", "``") + "`") for c in df.columns])
+
+
+def row_hash(df: DataFrame) -> Column:
+    """Hash of a whole row, also with types that have no hash of their own (maps, variants)."""
+
+    def plain(c: str) -> Column:
+        kind, column = df.schema[c].dataType.simpleString(), F.col("`" + c.replace("`", "``") + "`")
+        return F.to_json(F.struct(column.alias("v"))) if "map<" in kind or "variant" in kind else column
+
+    return F.xxhash64(*map(plain, df.columns))
+
+
 def forget(*kept: DataFrame) -> None:
     """Remove kept tables that nothing reads any more."""
     for df in kept:

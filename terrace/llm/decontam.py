@@ -70,13 +70,14 @@ def contamination(docs: DataFrame, benchmark: DataFrame, keyed: bool = False) ->
     no hits. Other columns are not read. With ``keyed``, ``key`` (xxhash64 of the text) is
     added, for rows whose doc_id is null or repeated.
     """
-    texts = docs.select("doc_id", "text")
+    # The hash of the text tells rows with one doc_id, or none, apart.
+    texts = docs.select("doc_id", F.xxhash64("text").alias("key"), "text")
     windows, owners = _windows(benchmark)
     words = windows.select("wid", "words", F.posexplode("words").alias("off", "word"))
     vocabulary = small(keep(words.select("word").distinct(), "decontam-words"))
 
-    exploded = texts.select("doc_id", raw_words("text").alias("all")).select(
-        "doc_id", F.size("all").alias("n"), F.posexplode("all").alias("pos", "raw")
+    exploded = texts.select("doc_id", "key", raw_words("text").alias("all")).select(
+        "doc_id", "key", F.size("all").alias("n"), F.posexplode("all").alias("pos", "raw")
     )
     spread = exploded.withColumn("word", lowered("raw")).drop("raw")
     counts = keep(
@@ -104,7 +105,7 @@ def contamination(docs: DataFrame, benchmark: DataFrame, keyed: bool = False) ->
     found = (
         spread.join(small(bounds), "word")
         .filter("pos >= before AND n - pos >= after")
-        .groupBy("doc_id")
+        .groupBy("doc_id", "key")
         .agg(F.collect_set("pos").alias("places"))
     )
 
@@ -121,8 +122,8 @@ def contamination(docs: DataFrame, benchmark: DataFrame, keyed: bool = False) ->
     )
     places = (
         texts.alias("t")
-        .join(found.alias("f"), _same("t", "f", "doc_id"))
-        .select("t.doc_id", F.xxhash64("t.text").alias("key"), raw_words("t.text").alias("all"), "f.places")
+        .join(found.alias("f"), _same("t", "f", "doc_id", "key"))
+        .select("t.doc_id", "t.key", raw_words("t.text").alias("all"), "f.places")
         .select("doc_id", "key", F.filter("places", lambda p: p < F.size("all")).alias("places"), "all")
         .select("doc_id", "key", F.explode(around).alias("c"))
         .select("doc_id", "key", "c.pos", "c.near", F.least("c.pos", F.lit(WINDOW - 1)).alias("at"))

@@ -23,7 +23,7 @@ import math
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from terrace.llm.common import keep
+from terrace.llm.common import boxed, keep
 
 MAX_REPEAT = 2.0
 STEPS = 20  # the exponent is a multiple of 2 ** -STEPS
@@ -155,17 +155,10 @@ def mix(docs: DataFrame, max_repeat: float = MAX_REPEAT) -> DataFrame:
         .groupBy("doc_id", "source", "text_md5")
         .agg(F.count("*").cast("int").alias("times"))
     )
-    rows = docs.withColumn("_md5", F.md5(F.coalesce("text", F.lit("")).cast("binary")))
-    same = (
-        F.col("r.doc_id").eqNullSafe(F.col("u.doc_id"))
-        & F.col("r.source").eqNullSafe(F.col("u.source"))
-        & (F.col("r._md5") == F.col("u.text_md5"))
-    )
-    return (
-        rows.alias("r").join(uses.alias("u"), same)
-        .select(*[F.col(f"r.`{c}`") for c in docs.columns], F.explode(F.sequence(F.lit(1), F.col("u.times"))).alias("_use"))
-        .drop("_use")
-    )
+    rows = docs.select(boxed(docs).alias("doc"), "doc_id", "source", F.md5(F.coalesce("text", F.lit("")).cast("binary")).alias("text_md5"))
+    same = [F.col(f"r.{c}").eqNullSafe(F.col(f"u.{c}")) for c in ("doc_id", "source", "text_md5")]
+    used = rows.alias("r").join(uses.alias("u"), same)
+    return used.select("r.doc", F.explode(F.sequence(F.lit(1), F.col("u.times"))).alias("use")).select("doc.*")
 
 
 # The bisection in closed form; permutations by one running total per source.

@@ -15,7 +15,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from terrace.llm.common import keep, ranked
+from terrace.llm.common import boxed, keep, ranked
 
 SHARDS = 16
 SEED = 7
@@ -73,27 +73,20 @@ def assign(docs: DataFrame, shards: int = SHARDS) -> DataFrame:
     )
 
 
+def _free(name: str, taken: list[str]) -> str:
+    while name.lower() in {c.lower() for c in taken}:
+        name = f"_{name}"
+    return name
+
+
 def shard(docs: DataFrame, shards: int = SHARDS) -> DataFrame:
-    """``docs`` with ``shard`` and ``slot`` (both named ``_shard``/``_slot`` where the
-    documents have such a column already)."""
-    names = {c: c if c not in docs.columns else f"_{c}" for c in ("shard", "slot")}
-    places = (
-        assign(docs, shards)
-        .groupBy("doc_id", "row_key")
-        .agg(F.array_sort(F.collect_list(F.struct("shard", "slot"))).alias("_places"))
-    )
-    same = Window.partitionBy("doc_id", "_key").orderBy("_key")
-    rows = docs.withColumn("_key", _row_key(docs)).withColumn("_nth", F.row_number().over(same))
-    place = F.element_at("_places", F.col("_nth"))
-    return (
-        rows.alias("r")
-        .join(
-            places.alias("p"),
-            F.col("r.doc_id").eqNullSafe(F.col("p.doc_id")) & (F.col("r._key") == F.col("p.row_key")),
-        )
-        .select(
-            *[F.col(f"r.`{c}`") for c in docs.columns],
-            place["shard"].alias(names["shard"]),
-            place["slot"].alias(names["slot"]),
-        )
-    )
+    """``docs`` with ``shard`` and ``slot``, or these names after as many ``_`` as make them new
+    where the documents have such a column already. Rows that are equal are numbered and take
+    the places of equal rows by number; none is gathered."""
+    names = [_free(c, docs.columns) for c in ("shard", "slot")]
+    same = Window.partitionBy("doc_id", "row_key")
+    places = assign(docs, shards).withColumn("nth", F.row_number().over(same.orderBy("shard", "slot")))
+    rows = docs.select(boxed(docs).alias("doc"), "doc_id", _row_key(docs).alias("row_key"))
+    rows = rows.withColumn("nth", F.row_number().over(same.orderBy("row_key")))
+    match = F.col("r.doc_id").eqNullSafe(F.col("p.doc_id")) & (F.col("r.row_key") == F.col("p.row_key")) & (F.col("r.nth") == F.col("p.nth"))
+    return rows.alias("r").join(places.alias("p"), match).select("r.doc.*", F.col("p.shard").alias(names[0]), F.col("p.slot").alias(names[1]))

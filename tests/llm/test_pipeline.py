@@ -119,3 +119,25 @@ def test_rejection_takes_only_the_rejected_row(spark):
     want = lambda gone: sorted(((i, t) for i, t in more if t != gone), key=str)
     assert mine(corpus_pipeline.without_toxic(spark, docs, LARGER)) == want(bad)
     assert mine(corpus_pipeline.without_benchmark(spark, docs, LARGER)) == want(item)
+
+
+CLASHING = (
+    "doc_id long, text string, lang string, source string, n_chars long, _node long, _row long, _key string, _nth int, _md5 string, "
+    "_use int, shard string, _shard int, SLOT string, doc string, node string, key long, root long, n int, r string, d string, "
+    "meta map<string, int>, `a.b` string"
+)
+
+
+def test_stages_keep_columns_of_any_name(spark):
+    def row(i, text):
+        return (i, text, "en", "s", 3, 1, 2, "k", 4, "m", 5, "sh", 6, "sl", "d", "no", 7, 8, 9, "r", "dd", {"x": i or 0}, "ab")
+
+    rows = [row(1, "some words of a first text"), row(2, "and others of a second one"), row(None, None), row(3, "some words of a first text")]
+    docs = spark.createDataFrame(rows, CLASHING)
+    want = sorted(map(str, rows))
+    for name, stage in corpus_pipeline.STAGES:
+        out = stage(spark, docs, SF_DIR)
+        assert out.columns[: len(docs.columns)] == docs.columns, name
+        got = sorted({str(tuple(r)[: len(docs.columns)]) for r in out.collect()})
+        assert got == (sorted(map(str, rows[:3])) if name == "simhash_dedup" else want), name
+        assert out.columns[len(docs.columns) :] == (["__shard", "_slot"] if name == "sharding" else [])

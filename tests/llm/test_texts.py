@@ -2,6 +2,7 @@
 
 import hashlib
 import os
+import random
 import re
 import zlib
 
@@ -101,10 +102,70 @@ def test_secrets_by_brute_force(spark):
     assert secrets.secrets(docs.limit(0)).count() == 0
 
 
+def some_match(tree, rng, fold=False):
+    """A random string that an expression matches, from its parse tree."""
+    out = []
+    for op, arg in tree:
+        name = str(op)
+        if name == "LITERAL":
+            c = chr(arg)
+            out.append(rng.choice([c.lower(), c.upper()]) if fold else c)
+        elif name == "IN":
+            kind, x = rng.choice(arg)
+            c = chr(x if str(kind) == "LITERAL" else rng.randint(*x))
+            out.append(rng.choice([c.lower(), c.upper()]) if fold else c)
+        elif name == "SUBPATTERN":
+            out.append(some_match(arg[3], rng, (fold or bool(arg[1] & re.I)) and not arg[2] & re.I))
+        elif name == "BRANCH":
+            out.append(some_match(rng.choice(arg[1]), rng, fold))
+        elif name == "ANY":
+            out.append(rng.choice("ab \u00e9"))
+        elif name != "AT":
+            out += [some_match(arg[2], rng, fold) for _ in range(rng.randint(arg[0], min(arg[1], arg[0] + 3)))]
+    return "".join(out)
+
+
+OWN_RULES = [
+    r"(?i:key|pass(?:code|phrase))-[a-c]{2}(x|yz)+[0-9]{4}", r"(?i)Bearer\x20+[A-Za-z]{5,}tail", r"(ab|cde.fgh|ij+klm)[xyz]?end", r"a{3}b{2,3}c",
+    r"^abc|def$", r"(abc)*d[ab]e", r"[a-z]+", r"(?:foo)?ba[rz]qu+x", r"ab(?-i:CD)ef",
+]
+
+
 def test_trigram_queries_are_necessary():
-    for rule in secrets.RULES:
-        assert all(len(g) == 3 for alt in rule.query() for g in alt)
-    assert not next(r for r in secrets.RULES if r.kind == "hex").query()
+    """Every match of a rule, also of a caller's, has all trigrams of one alternative."""
+    rng = random.Random(2)
+    rules = [*secrets.RULES, *[secrets.Rule("own", p) for p in OWN_RULES]]
+    for rule in rules:
+        query, fold = rule.query(), rule.fold
+        assert all(len(g) == 3 for alt in query for g in alt)
+        for _ in range(300 if query else 0):
+            text = some_match(re._parser.parse(rule.pattern), rng)
+            assert re.search(rule.pattern, text)
+            text = text.lower() if fold else text
+            assert any(all(g in text for g in alt) for alt in query), (rule.pattern, text, query)
+    assert not next(r for r in rules if r.kind == "hex").query() and not rules[-3].query()
+    assert sum(bool(r.query()) for r in rules) >= 13
+    assert secrets.Rule("java", r"\p{Lu}abc").query() == []
+
+
+def test_own_rule_without_literals_beside_it(spark):
+    texts = ["x Bearer  abcdefTAIL y", "bearer abctail", "pass the key", None]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    rules = (*secrets.RULES, secrets.Rule("bearer", OWN_RULES[1]))
+    assert [r.spans for r in secrets.secrets(docs, rules).orderBy("doc_id").collect()] == ["bearer:2:20", "", "", ""]
+
+
+def test_secrets_and_contamination_without_ids_and_with_repeated_ones(spark):
+    """Each row counts for its own text, whatever other rows of its id have."""
+    long = " ".join(f"b{i}" for i in range(12))
+    texts = ["secret=abcdefg", "nothing", long, "x " + long, "", "ghp_" + "a" * 36]
+    rows = [(i, t) for t in texts for i in (None, 5)] + [(None, texts[0])] * 40 + [(None, long)] * 40
+    bench = spark.createDataFrame([(1, long)], "item_id long, text string")
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    alone = spark.createDataFrame([(i, t) for i, (_, t) in enumerate(rows)], "doc_id long, text string")
+    for apply in (secrets.secrets, lambda d: decontam.contamination(d, bench)):
+        got = sorted((str(tuple(r)[1:]) for r in apply(docs).collect()))
+        assert got == sorted(str(tuple(r)[1:]) for r in apply(alone).collect()) and len(got) == len(rows)
 
 
 def test_mixture(spark):
