@@ -11,8 +11,12 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from terrace.operators.skew import PIECE, PIECE_ROWS, axis_of, cut, hot_ranges, neighbours
+from terrace.sources.places import shared_dir
 
 EXPLODE_STEP = 10_000
+# Mean window over the median one from which on windows count as of mixed length.
+MIXED = 16
+LEVEL = 4.0
 
 
 def fill_gaps(
@@ -73,14 +77,18 @@ def range_join(
     Both sides get a time bin as one more equality key, so a row meets only the windows
     of its bin and a hot key spreads over its bins. A bin is as wide as the mean window
     (rounded up to a power of two), which keeps the binned right side under three rows
-    per window. Which side is broadcast, if any, is left to the runtime sizes.
+    per window. Where the mean is far over the median, so that a few long windows would put
+    many short ones in one bin, windows are binned by levels of length instead
+    (:func:`level_join`). Which side is broadcast, if any, is left to the runtime sizes.
     ``t``, ``start`` and ``end`` must be of one type; ``width`` is in seconds or numbers.
     """
     micros = dict(left.dtypes)[t].startswith("timestamp")
     lo, hi, at = axis_of(right, start), axis_of(right, end), axis_of(left, t)
     windows = right.filter(F.col(start) < F.col(end))
     if width is None:
-        mean = windows.agg(F.avg(hi - lo)).first()[0]
+        mean, middle = windows.agg(F.avg(hi - lo), F.percentile_approx(hi - lo, 0.5)).first()
+        if mean and mean > MIXED * middle:
+            return level_join(left, right, on, t, start, end, how)
         width = 2.0 ** math.ceil(math.log2(mean)) if mean else 1.0
     elif micros:
         width *= 1_000_000
@@ -104,6 +112,53 @@ def range_join(
     )
 
 
+def binned_by_level(windows: DataFrame, start: str, end: str, unit: float) -> DataFrame:
+    """Windows on the cells they touch at the level of their length: ``_level`` and ``_cell``, at
+    most two rows per window. Cells of level ``n`` are ``unit * LEVEL**n`` wide, not narrower
+    than its windows; level 0 also holds all shorter windows."""
+    lo, hi = axis_of(windows, start), axis_of(windows, end)
+    steps = F.ceil(F.log((hi - lo) / unit) / math.log(LEVEL)).cast("int")
+    cells = windows.withColumn("_level", F.greatest(steps, F.lit(0)))
+    size = F.lit(unit) * F.pow(F.lit(LEVEL), F.col("_level"))
+    return cells.withColumn("_cell", F.explode(F.sequence(F.floor(lo / size), F.floor(hi / size))))
+
+
+def level_join(
+    left: DataFrame, right: DataFrame, on: Sequence[str], t: str, start: str, end: str, how: str = "left"
+) -> DataFrame:
+    """:func:`range_join` for windows of very mixed length, by a grid for each level of length.
+
+    A window is put on one or two cells of its own level; a row looks on every level that has
+    windows, the number of which grows with the logarithm of their lengths. So a row meets
+    windows that are about as long as the cell it looks in, whatever others there are. Rows
+    that find no window are added after the join: ``left`` is numbered and written once for it.
+    """
+    windows = right.filter(F.col(start) < F.col(end))
+    length = axis_of(windows, end) - axis_of(windows, start)
+    shortest = windows.agg(F.percentile_approx(length, 0.1)).first()[0]
+    if shortest is None:  # no window at all
+        nothing = [F.lit(None).cast(right.schema[c].dataType).alias(c) for c in right.columns if c not in on]
+        return left.select("*", *nothing) if how == "left" else left.select("*", *nothing).limit(0)
+    unit = float(shortest)
+    binned = binned_by_level(windows, start, end, unit)
+    levels = sorted(r[0] for r in binned.select("_level").distinct().collect())  # a few dozen at most
+    if how == "left":
+        shared_dir(left.sparkSession)
+        rows = left.withColumn("_row", F.monotonically_increasing_id()).checkpoint()
+    else:
+        rows = left.withColumn("_row", F.lit(0))
+    size = F.lit(unit) * F.pow(F.lit(LEVEL), F.col("_level"))
+    looks = rows.withColumn("_level", F.explode(F.array(*map(F.lit, levels)))).withColumn("_cell", F.floor(axis_of(left, t) / size))
+    match = reduce(and_, [F.col(f"l.{k}") == F.col(f"r.{k}") for k in [*on, "_level", "_cell"]])
+    match &= (F.col(f"l.{t}") >= F.col(f"r.{start}")) & (F.col(f"l.{t}") < F.col(f"r.{end}"))
+    added = [c for c in right.columns if c not in on]
+    found = looks.alias("l").join(binned.alias("r"), match).select("l._row", *[F.col(f"l.{c}") for c in left.columns], *[F.col(f"r.{c}") for c in added])
+    if how != "left":
+        return found.drop("_row")
+    lone = rows.join(found.select("_row").distinct(), "_row", "left_anti")
+    return found.unionByName(lone, allowMissingColumns=True).drop("_row")
+
+
 def asof_join(
     left: DataFrame,
     right: DataFrame,

@@ -25,7 +25,7 @@ from terrace.operators.shape import (
 )
 from terrace.queries.base import query, spread, table
 from terrace.sources.pages import cell, html_rows
-from terrace.sources.payloads import payload_records
+from terrace.sources.payloads import payload_records, variant_leaves, variant_records
 from terrace.sources.schedule import nth_row, pick_rounds
 
 
@@ -371,3 +371,26 @@ def row_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
         out = out.unionByName(c)
     return out
 
+
+
+@query(
+    """
+SELECT user_id, event_id, path, value FROM (
+  SELECT user_id, event_id, unnest([
+      {'path': 'id', 'value': event_id::VARCHAR}, {'path': 'kind', 'value': event_type},
+      {'path': 'props.k', 'value': json_extract_string(props, '$.k')},
+      {'path': 'list.0', 'value': (event_id % 3)::VARCHAR}, {'path': 'list.1.deep', 'value': NULL}], recursive := true)
+  FROM events)
+UNION ALL SELECT user_id, event_id, 'only.here', user_id::VARCHAR FROM events WHERE event_id % 5 = 0
+"""
+)
+def payload_variants(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Records of unknown fields, walked by path: every value that any of them has."""
+    own = F.when(F.col("event_id") % 5 == 0, F.format_string(', "only": {"here": %d}', "user_id")).otherwise("")
+    record = F.format_string(
+        '{"id": %d, "kind": "%s", "props": %s, "list": [%d, {"deep": null}], "none": {}%s}', "event_id", "event_type", "props", F.col("event_id") % 3, own
+    )
+    payload = F.concat(F.lit('{"data": [{"rows": ['), record, F.lit("]}]}"))
+    calls = spread(spark, sf_dir, "events").select("user_id", "event_id", payload.alias("body"))
+    records = variant_records(calls, "body", ["data", 0, "rows"], {"user_id": F.col("user_id"), "event_id": F.col("event_id")})
+    return variant_leaves(records.drop("place")).select("user_id", "event_id", "path", "value")

@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from terrace.functions import foreign_key, normalize_text, surrogate_key
-from terrace.functions.keys import UNKNOWN_KEY, key_collisions
+from terrace.functions.keys import UNKNOWN_KEY, assign_keys, key_collisions
 from terrace.operators.shape import latest_per_key
 from terrace.operators.skew import lookup
 from terrace.operators.star import add_unknown
@@ -177,3 +177,24 @@ def star_report(spark: SparkSession, sf_dir: str) -> DataFrame:
             F.countDistinct("o_orderkey").alias("orders"),
         )
     )
+
+
+@query(
+    """
+SELECT c_mktsegment, count(*) AS n, count(*) AS n_keys, count(*) FILTER (c_custkey % 3 = 0) AS as_before FROM customer GROUP BY 1
+"""
+)
+def star_unique_keys(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Keys of so few bits that hashes collide, given out in two loads: unique, and those of the
+    first load as they were."""
+    names = table(spark, sf_dir, "customer").select("c_name", "c_custkey", "c_mktsegment")
+    first = assign_keys(names.filter("c_custkey % 3 = 0"), ["c_name"], bits=20).checkpoint()
+    both = assign_keys(names, ["c_name"], first, bits=20)
+    once = both.groupBy("key").agg(F.count(F.lit(1)).alias("_n"))
+    before = first.select("c_name", F.col("key").alias("_before"))
+    rows = names.join(both, "c_name").join(once, "key").join(before, "c_name", "left")
+    return rows.groupBy("c_mktsegment").agg(
+        F.count(F.lit(1)).alias("n"),
+        F.count_if(F.col("_n") == 1).alias("n_keys"),
+        F.count_if(F.col("key") == F.col("_before")).alias("as_before"),
+    )

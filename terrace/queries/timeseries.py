@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from terrace.operators.skew import group_values
-from terrace.operators.temporal import asof_join, fill_gaps, range_join, valid_to
+from terrace.operators.temporal import asof_join, fill_gaps, level_join, range_join, valid_to
 from terrace.plans.reports import lap_trace as trace_of
 from terrace.plans.reports import sector_times as sectors_of
 from terrace.plans.reports import stint_panel as panel_of
@@ -282,3 +282,31 @@ def weather_at_laps(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
     laps = _laps(events).select("session_key", "lap_number", "lap_start_time")
     return weather_of(laps, weather).select("session_key", "lap_number", "air_temp", "weather_id")
+
+
+_MIXED = """
+WITH w AS (
+  SELECT user_id, event_id AS window_id, ts AS start_ts,
+         ts + to_microseconds((10 ^ (event_id % 8))::BIGINT * 100000) AS end_ts
+  FROM events WHERE event_type <> 'view')
+"""
+
+
+@query(
+    _MIXED
+    + """
+SELECT e.event_id, e.user_id, w.window_id FROM events e LEFT JOIN w
+  ON e.user_id = w.user_id AND e.ts >= w.start_ts AND e.ts < w.end_ts
+"""
+)
+def range_join_mixed(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Windows from a tenth of a second to eleven days: events find those of all lengths."""
+    events = table(spark, sf_dir, "events")
+    power = F.pow(F.lit(10), F.col("event_id") % 8).cast("bigint")
+    windows = events.filter("event_type <> 'view'").select(
+        "user_id", F.col("event_id").alias("window_id"), F.col("ts").alias("start_ts"), (power * 100_000).alias("length")
+    )
+    end = F.col("start_ts") + F.make_dt_interval(secs=(F.col("length") / 1_000_000).cast("decimal(18,6)"))
+    windows = windows.withColumn("end_ts", end).drop("length")
+    joined = level_join(events.select("event_id", "user_id", "ts"), windows, ["user_id"], "ts", "start_ts", "end_ts")
+    return joined.select("event_id", "user_id", "window_id")

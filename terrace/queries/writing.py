@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from terrace.operators.serve import load_all, refresh
+from terrace.operators.serve import LoadError, load_all, refresh
 from terrace.operators.write import write_append, write_merge, write_overwrite, write_replace
 from terrace.queries.base import query, table
 from terrace.sources.places import new_dir
@@ -150,3 +150,31 @@ def upsert_null_time(spark: SparkSession, sf_dir: str) -> DataFrame:
     write_merge(blank.filter("event_id % 2 = 0"), path, ["event_id"], newer_by="at")
     write_merge(timed.filter("event_id % 4 > 1"), path, ["event_id"], newer_by="at")
     return read_table(spark, path)
+
+
+@query(
+    """
+SELECT name, CASE name WHEN 'whole' THEN 'ok' ELSE 'rows differ' END AS found, (SELECT count(*) FROM customer) AS rows
+FROM (VALUES ('whole'), ('changed value'), ('swapped duplicate')) t(name)
+"""
+)
+def refresh_by_content(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Refreshes verified by content: a sink that changes one value, or holds one row twice and
+    another not at all, has the right number of rows and is found out."""
+    customers = table(spark, sf_dir, "customer")
+    last = customers.agg(F.max("c_custkey")).first()[0]
+    sinks = {
+        "whole": lambda df: df.repartition(3).select(*reversed(df.columns)),
+        "changed value": lambda df: df.withColumn("c_acctbal", F.when(F.col("c_custkey") == last, F.col("c_acctbal") + 0.01).otherwise(F.col("c_acctbal"))),
+        "swapped duplicate": lambda df: df.filter(F.col("c_custkey") != last).unionByName(df.filter(F.col("c_custkey") == last - 1)),
+    }
+    found = []
+    for name, spoil in sinks.items():
+        path = new_dir(spark, "sink")
+        read = lambda path=path: read_table(spark, path)
+        try:
+            n = refresh(customers, lambda df, spoil=spoil, path=path: write_overwrite(spoil(df), path), lambda read=read: read().count(), read=read)
+            found.append((name, "ok", n))
+        except LoadError as e:
+            found.append((name, "rows differ" if "not the same" in str(e) else str(e), read().count()))
+    return spark.createDataFrame(found, "name string, found string, rows bigint")
