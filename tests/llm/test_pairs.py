@@ -156,6 +156,23 @@ def test_embedding_links(spark):
             assert (got[1000 + i].n_links, got[1000 + i].component_id, got[1000 + i].kept) == (0, 1000 + i, True)
 
 
+def test_embedding_recall_near_the_line(spark):
+    """Pairs planted at cosines from 0.9 up: at least 0.95 of them are found, and none below."""
+    rng = np.random.default_rng(9)
+    rows, want = [], []
+    for i in range(1500):
+        a, b = rng.standard_normal((2, 64))
+        a /= np.linalg.norm(a)
+        b -= a * (a @ b)
+        b /= np.linalg.norm(b)
+        c = rng.uniform(0.9005, 0.92) if i % 3 else rng.uniform(0.88, 0.8995)
+        rows += [(2 * i, a.tolist()), (2 * i + 1, (3 * (c * a + np.sqrt(1 - c * c) * b)).tolist())]
+        want.append(i % 3 != 0)
+    got = {r.vec_id: r for r in embed.near_vectors(spark.createDataFrame(rows, "vec_id long, embedding array<double>")).collect()}
+    found = np.array([got[2 * i + 1].component_id == 2 * i for i in range(1500)])
+    assert not found[~np.array(want)].any() and found[np.array(want)].mean() >= 0.95
+
+
 def test_shards_hold_the_mixture(spark):
     sources = {i: ("big" if i % 3 == 0 else None if i % 7 == 0 else f"s{i % 5}") for i in range(500)}
     texts = ["t" * (i % 11) if i % 13 else None for i in range(500)]
