@@ -64,10 +64,12 @@ def write_merge(
     batch: tuple[str, str, int] | None = None,
     fmt: str = "parquet",
     feed: bool = False,
+    unique: bool = False,
 ) -> None:
     """Upsert: rows with the same keys (and partition) are replaced, others are added.
 
-    Two rows of ``df`` with one key are an error, also if they are equal. Only partitions that ``df`` touches are read and written
+    Two rows of ``df`` with one key are an error, also if they are equal; a caller that made
+    one row per key says ``unique`` and saves the count. Only partitions that ``df`` touches are read and written
     again. With ``newer_by`` a stored row that is newer than its update stays; no time is
     older than any. ``batch`` (stream, its run, number) makes a repeated batch of the run a
     no-op; a new run starts over. ``fmt`` is the file format of a table that is new. With
@@ -77,8 +79,11 @@ def write_merge(
     spark = df.sparkSession
     snap = snapshot_of(spark, path)
     on = list(dict.fromkeys([*keys, *partition_by]))
+    if snap is None and unique and not feed:
+        write_snapshot(df, path, None, partition_by, batch=batch, fmt=fmt)
+        return
     df = _settled(df)
-    if not df.groupBy(*on).agg(F.count(F.lit(1)).alias("_n")).filter("_n > 1").isEmpty():
+    if not unique and not df.groupBy(*on).agg(F.count(F.lit(1)).alias("_n")).filter("_n > 1").isEmpty():
         raise ValueError(f"several rows for one key ({', '.join(on)}) in an update of {path}")
     if snap is None:
         write_snapshot(df, path, None, partition_by, batch=batch, fmt=fmt, changes=df if feed else None)

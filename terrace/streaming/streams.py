@@ -5,7 +5,7 @@ from __future__ import annotations
 import json
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
@@ -24,6 +24,28 @@ def dedup_stream(
     return df.withWatermark(time_column, lateness).dropDuplicatesWithinWatermark(list(keys))
 
 
+def set_aside(records: DataFrame, kept: DataFrame, keys: Sequence[str], time_column: str) -> DataFrame:
+    """What :func:`dedup_stream` left out of ``records``, given the table it was ``kept`` in: all
+    columns and ``reason``, ``repeated`` where the table has a row of the key, else ``late``.
+
+    Both are batches. Records of one key and time are numbered on both sides and leave as many as
+    the table has, so the records set aside and those kept add up to all of them. Only keys,
+    times and the records themselves are shuffled, once.
+    """
+    at = [*keys, time_column]
+    order = row_order(records, skip=tuple(at)) or [F.lit(1)]
+    numbered = records.withColumn("_nth", F.row_number().over(Window.partitionBy(*at).orderBy(*order)))
+    there = kept.select(*at).withColumn("_nth", F.row_number().over(Window.partitionBy(*at).orderBy(F.lit(1))))
+
+    def same(columns: Sequence[str]):
+        return [F.col(f"a.{c}").eqNullSafe(F.col(f"b.{c}")) for c in columns]
+
+    gone = numbered.alias("a").join(there.alias("b"), same([*at, "_nth"]), "left_anti").drop("_nth")
+    known = kept.select(*keys).distinct().withColumn("_known", F.lit("repeated"))
+    reason = F.coalesce("b._known", F.lit("late")).alias("reason")
+    return gone.alias("a").join(known.alias("b"), same(keys), "left").select("a.*", reason)
+
+
 def start_append(
     df: DataFrame,
     path: str,
@@ -80,7 +102,7 @@ def start_upsert(
         if not rows.isEmpty():
             newest = latest_per_key(rows, on, order)
             run = json.loads(read_text(rows.sparkSession, f"{checkpoint}/metadata"))["id"]
-            write_merge(newest, path, keys, partition_by, newer_by, (checkpoint, run, number), fmt, feed)
+            write_merge(newest, path, keys, partition_by, newer_by, (checkpoint, run, number), fmt, feed, unique=True)
 
     return (
         df.writeStream.foreachBatch(upsert)
