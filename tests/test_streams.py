@@ -6,7 +6,7 @@ from terrace.plans.layers import BRONZE
 from terrace.sources.places import new_dir
 from terrace.sources.tables import read_table, snapshot_of, stream_table
 from terrace.sources.topics import envelope, read_topic, to_records, write_topic
-from terrace.streaming.streams import dedup_stream, start_append, start_upsert
+from terrace.streaming.streams import dedup_stream, set_aside, start_append, start_upsert
 
 
 def send(spark, topic, data):
@@ -74,3 +74,17 @@ def test_a_replayed_batch_changes_nothing(spark, rows):
         stream = parsed(envelope(read_topic(spark, topic), "t"))
         start_upsert(stream, table, new_dir(spark, "check"), ["k"], "kafka_timestamp").awaitTermination()
     assert rows(read_table(spark, table), "k", "v") == [(1, 10)]
+
+
+def test_records_left_out_are_set_aside(spark, rows):
+    """Repeated and late records, also with null keys and times: with the kept ones they are all."""
+    records = [(1, 5, "a"), (1, 5, "b"), (1, 9, "c"), (2, 1, "late"), (2, 1, "late"), (3, None, "x"), (3, None, "x"), (None, 4, "n"), (None, 4, "m")]
+    df = spark.createDataFrame(records, "k int, at int, v string")
+    kept = spark.createDataFrame([(1, 5, "a"), (3, None, "x"), (None, 4, "n")], "k int, at int, v string")
+    aside = set_aside(df, kept, ["k"], "at")
+    got = [(r.k, r.at, r.reason) for r in aside.collect()]
+    assert sorted(got, key=str) == sorted(
+        [(1, 5, "repeated"), (1, 9, "repeated"), (2, 1, "late"), (2, 1, "late"), (3, None, "repeated"), (None, 4, "repeated")], key=str
+    )
+    assert set_aside(df, kept.limit(0), ["k"], "at").filter("reason = 'late'").count() == len(records)
+    assert set_aside(kept, kept, ["k"], "at").count() == 0
