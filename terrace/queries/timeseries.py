@@ -12,6 +12,8 @@ from terrace.plans.reports import sector_times as sectors_of
 from terrace.plans.reports import stint_panel as panel_of
 from terrace.plans.reports import weather_at_laps as weather_of
 from terrace.queries.base import query, stamp, table
+from terrace.sources.buckets import write_bucketed
+from terrace.sources.places import new_dir
 
 _WINDOWS = """
 WITH s AS (
@@ -310,3 +312,39 @@ def range_join_mixed(spark: SparkSession, sf_dir: str) -> DataFrame:
     windows = windows.withColumn("end_ts", end).drop("length")
     joined = level_join(events.select("event_id", "user_id", "ts"), windows, ["user_id"], "ts", "start_ts", "end_ts")
     return joined.select("event_id", "user_id", "window_id")
+
+
+BUCKETS = 16
+
+
+@query(
+    """
+WITH o AS (
+  SELECT o_custkey, o_orderkey,
+         CAST(date_diff('day', DATE '1970-01-01', CAST(o_orderdate AS DATE)) AS DOUBLE) AS d
+  FROM orders),
+i AS (
+  SELECT o_custkey, o_orderkey,
+         CASE WHEN o_orderkey % 3 <> 0 THEN d END AS s,
+         CASE WHEN o_orderkey % 5 <> 0 THEN d + o_orderkey % 7 END AS e,
+         CASE WHEN o_orderkey % 11 <> 0 THEN CAST(o_orderkey % 7 AS DOUBLE) END AS n
+  FROM o),
+w AS (
+  SELECT *, lag(e) OVER k AS prev_end, lead(s) OVER k AS next_start
+  FROM i WINDOW k AS (PARTITION BY o_custkey ORDER BY o_orderkey))
+SELECT o_custkey, c_mktsegment, o_orderkey, n AS length,
+       coalesce(s, prev_end, e - n) AS start_at,
+       coalesce(e, next_start, s + n) AS end_at,
+       s IS NULL AND coalesce(s, prev_end, e - n) IS NOT NULL AS is_start_at_estimated,
+       e IS NULL AND coalesce(e, next_start, s + n) IS NOT NULL AS is_end_at_estimated
+FROM w JOIN customer ON c_custkey = o_custkey
+"""
+)
+def bucketed_gap_fill(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Intervals and customers in buckets by customer: gaps are filled and customers joined
+    without a shuffle."""
+    intervals = write_bucketed(_intervals(table(spark, sf_dir, "orders")), new_dir(spark, "intervals"), ["o_custkey"], BUCKETS)
+    customers = table(spark, sf_dir, "customer").select(F.col("c_custkey").alias("o_custkey"), "c_mktsegment")
+    customers = write_bucketed(customers, new_dir(spark, "customers"), ["o_custkey"], BUCKETS)
+    filled = fill_gaps(intervals, ["o_custkey"], "o_orderkey", "start_at", "end_at", "length")
+    return filled.join(customers, "o_custkey")

@@ -126,3 +126,31 @@ def test_records_go_through_a_topic(spark, rows):
         ("1", '{"id":1,"name":"a"}', "t"),
         ("2", '{"id":2}', "t"),
     ]
+
+
+def test_buckets_serve_windows_and_joins_without_a_shuffle(spark):
+    from terrace.operators.temporal import fill_gaps
+    from terrace.sources import buckets
+    from terrace.sources.buckets import read_bucketed, write_bucketed
+    from terrace.sources.places import new_dir
+
+    laps = spark.range(300).selectExpr("id % 7 AS session", "id % 3 AS car", "id AS lap", "IF(id % 2 = 0, id * 1.0, null) AS s", "id + 1.0 AS e", "1.0 AS n")
+    names = spark.range(7).selectExpr("id AS session", "concat('session ', id) AS name")
+    path, other = new_dir(spark, "laps"), new_dir(spark, "names")
+    a, b = write_bucketed(laps, path, ["session"], 4), write_bucketed(names, other, ["session"], 4)
+
+    def apply(laps, names):
+        return fill_gaps(laps, ["session", "car"], "lap", "s", "e", "n").join(names, "session")
+
+    limit = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        shuffles = [apply(*x)._jdf.queryExecution().executedPlan().toString().count("Exchange hashpartitioning") for x in ((a, b), (laps, names))]
+        assert shuffles[0] == 0 < shuffles[1]
+        assert sorted(map(tuple, apply(a, b).collect())) == sorted(map(tuple, apply(laps, names).collect()))
+        spark.sql(f"DROP TABLE {buckets._name(path)}")  # as in a session that does not know it
+        again = read_bucketed(spark, path, a.schema, ["session"], 4)
+        plan = apply(again, b)._jdf.queryExecution().executedPlan().toString()
+        assert plan.count("Exchange hashpartitioning") == 0 and again.count() == 300
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", limit)
