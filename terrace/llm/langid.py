@@ -37,6 +37,7 @@ MOST_EXHAUSTIVE = 5  # languages; beyond, codewords are searched
 SEED = 5
 AMBIGUOUS = 0.2
 CHUNK = 1 << 20
+CELLS = 1 << 20
 UNKNOWN = "und"
 LETTER = regex.compile(r"\p{L}")
 
@@ -93,11 +94,16 @@ class Model:
     weight: np.ndarray  # of each bit
 
     def decode(self, margins: np.ndarray, n: np.ndarray) -> np.ndarray:
-        """Probability-like scores per language from mean margins of ``n`` n-grams."""
+        """Probability-like scores per language from mean margins of ``n`` n-grams; a slice of
+        rows at a time, so that rows x languages x bits stays within ``CELLS``."""
         strength = margins * np.sqrt(n)[:, None]
-        loss = np.logaddexp(0, -strength[:, None, :] * self.code[None]) @ self.weight
-        p = np.exp(loss.min(1, keepdims=True) - loss)
-        return p / p.sum(1, keepdims=True)
+        step = max(1, CELLS // max(1, self.code.size))
+        out = np.zeros((len(margins), len(self.code)))
+        for at in range(0, len(margins), step):
+            loss = np.logaddexp(0, -strength[at : at + step, None, :] * self.code[None]) @ self.weight
+            p = np.exp(loss.min(1, keepdims=True) - loss)
+            out[at : at + step] = p / p.sum(1, keepdims=True)
+        return out
 
 
 def learn(docs: DataFrame) -> Model:
@@ -165,7 +171,7 @@ def identify(docs: DataFrame) -> DataFrame:
 
     Learned from the rows with a language whose crc32(doc_id) modulo 4 is not 2. Texts that
     are null or have no letter, and all texts if nothing could be learned, are ``und`` with
-    score 0. A null doc_id is neither held out nor learned from. Repeated rows stay; an
+    score 0. Of languages with equal scores the first by name is taken. A null doc_id is neither held out nor learned from. Repeated rows stay; an
     empty table gives no rows. Only doc_id, text and lang are read, and lang only to learn.
     """
     model = learn(docs.filter(remainder(4) != 2))

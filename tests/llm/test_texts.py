@@ -285,6 +285,23 @@ def test_tokens_match_a_plain_scan():
     assert found[0][1] == 0 and len(set(found[2].tolist())) == 4
 
 
+def test_language_decoding_by_plain_model(monkeypatch):
+    """Weighted logistic loss of every codeword, in slices of rows as in one."""
+    rng = np.random.default_rng(3)
+    code = langid.codewords(4)
+    model = langid.Model(list("abcd"), code, np.zeros((langid.BUCKETS, code.shape[1])), rng.uniform(0.1, 2, code.shape[1]))
+    margins, n = rng.normal(size=(50, code.shape[1])), rng.integers(1, 90, 50).astype(float)
+    margins[7] = 0  # a tie of all
+    whole = model.decode(margins, n)
+    monkeypatch.setattr(langid, "CELLS", 64)
+    assert np.array_equal(whole, model.decode(margins, n))
+    for i in range(50):
+        loss = [sum(w * np.log1p(np.exp(-m * np.sqrt(n[i]) * c)) for w, m, c in zip(model.weight, margins[i], row)) for row in code]
+        p = np.exp(min(loss) - np.array(loss))
+        assert np.allclose(whole[i], p / p.sum())
+    assert whole[7].argmax() == 0
+
+
 def test_toxicity_held_out(spark):
     sf = "/root/testdata/sf0.1"
     rows = {r.doc_id: r for r in QUERIES["op7_toxicity"](spark, sf).collect()}
