@@ -372,7 +372,6 @@ def row_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out
 
 
-
 @query(
     """
 SELECT user_id, event_id, path, value FROM (

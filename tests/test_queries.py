@@ -32,3 +32,9 @@ def test_entry(spark):
     df = contract.entry(spark)
     assert df.columns == ["event_id", "user_id", "window_id", "valid_to"]
     assert df.count() == 1000
+
+
+def test_counts_read_no_column(spark):
+    """Only the footers of the files are read: no column is in any scan."""
+    plan = QUERIES["row_counts"](spark, SF_DIR)._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("ReadSchema: struct<>") == plan.count("FileScan parquet") > 10
