@@ -86,3 +86,19 @@ def test_keys_stay_unique_and_stable(spark):
     assert keys(assign_keys(some, ["name"], bits=10)) == a
     plain = spark.createDataFrame(names, "name string")
     assert keys(assign_keys(plain, ["name"])) == keys(plain.withColumn("key", surrogate_key("name")))
+
+
+def test_keys_in_dispute_are_settled_in_a_few_tries(spark, monkeypatch):
+    """Also where there are more natural keys than keys of so many bits."""
+    frame = type(spark.range(1))
+    tries, checkpoint = [], frame.checkpoint
+
+    def counted(df, *args, **options):
+        tries.append(df)
+        assert len(tries) <= 12
+        return checkpoint(df, *args, **options)
+
+    monkeypatch.setattr(frame, "checkpoint", counted)
+    names = spark.range(100).select(F.format_string("name %d", "id").alias("name"))
+    found = assign_keys(names, ["name"], bits=6).collect()
+    assert len({r.name for r in found}) == len({r.key for r in found}) == len(found) == 100
