@@ -1,9 +1,11 @@
 """Change feeds of merged tables, and streams that are limited by records."""
 
 import pytest
+from compare import difference, duck
 
 from terrace.operators.write import write_merge, write_overwrite, write_replace
 from terrace.plans.layers import Layers, run_bronze, run_stage
+from terrace.queries import ORACLE, QUERIES
 from terrace.sources import tables
 from terrace.sources.places import new_dir
 from terrace.sources.tables import read_table, snapshot_of, stream_table
@@ -109,3 +111,12 @@ def test_silver_streams_read_merged_silver(spark, rows):
 def test_feed_is_for_merged_tables(spark):
     with pytest.raises(ValueError, match="change feed"):
         TableSpec(name="x", layer="silver", sources=(Source("silver", "y"),), keys=("k",), feed=True)
+
+
+def test_changes_to_equal_balances_count(spark, tmp_path):
+    """Balances that a step sets to what they were: the SQL goes by the rows that a step sets."""
+    con = duck("/root/testdata/sf0.001")
+    balance = "CASE c_custkey % 4 WHEN 0 THEN -1.0 WHEN 1 THEN -11.0 WHEN 2 THEN 0.5 ELSE NULL END"
+    con.execute(f"COPY (SELECT * REPLACE (CAST({balance} AS DOUBLE) AS c_acctbal) FROM customer) TO '{tmp_path}/customer.parquet'")
+    found = QUERIES["stream_of_merged"](spark, str(tmp_path))
+    assert difference(found, duck(str(tmp_path)), ORACLE["stream_of_merged"]) is None
