@@ -24,12 +24,14 @@ from __future__ import annotations
 
 import sys
 from collections.abc import Iterator
+from functools import reduce
+from operator import add
 
 import numpy as np
 import pyarrow as pa
 import xxhash
 from pyspark import cloudpickle
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from terrace.llm.common import by_batch, components, forget, keep, ranked
@@ -43,6 +45,8 @@ BANDS, ROWS = 24, 4
 SEED = 42
 BLOCK = 1024
 NEXT = 4
+SLACK = 1e-6  # for rounding
+MARKS = 16  # words of 64 bits
 FURTHER = 2  # min-wise hashes that order the texts of a band
 WORDS = 4  # of 64 bits, in a fingerprint
 MOST_BITS = 55
@@ -94,6 +98,13 @@ def fingerprint(found: np.ndarray) -> np.ndarray:
     return np.packbits(2 * ones > len(found), axis=1, bitorder="little").view("<u8").ravel()
 
 
+def marks(found: np.ndarray) -> np.ndarray:
+    """``MARKS`` words of 64 bits: whether an odd number of a set's shingles falls on a bit. Two
+    sets differ in at least as many shingles as their marks do in bits."""
+    odd = np.bincount(found.view(np.uint64) % np.uint64(64 * MARKS), minlength=64 * MARKS) & 1
+    return np.packbits(odd.astype(bool), bitorder="little").view("<i8")
+
+
 def _sketches(batch: pa.RecordBatch) -> Iterator[dict]:
     keys, further, fps = [], [], []
     for text in batch.column("text").to_pylist():
@@ -107,9 +118,10 @@ def _sketches(batch: pa.RecordBatch) -> Iterator[dict]:
 
 
 def _sets(batch: pa.RecordBatch) -> Iterator[dict]:
+    longs = pa.list_(pa.int64())
     for node, text in zip(batch.column("node").to_pylist(), batch.column("text").to_pylist(), strict=True):
-        found = shingles(text).view(np.int64)
-        yield {"node": pa.array([node], pa.int64()), "found": pa.array([found], pa.list_(pa.int64()))}
+        found = shingles(text)
+        yield {"node": pa.array([node], pa.int64()), "found": pa.array([found.view(np.int64)], longs), "marks": pa.array([marks(found)], longs)}
 
 
 def _verified(pairs: DataFrame, sets: DataFrame) -> DataFrame:
@@ -142,6 +154,56 @@ def _by_pivots(sketches: DataFrame) -> DataFrame:
     return far.select("x", "y").unionByName(same).select(F.greatest("x", "y").alias("a"), F.least("x", "y").alias("b")).distinct()
 
 
+def _mixed(rows: DataFrame, roots: DataFrame) -> DataFrame:
+    """Texts ``(node, root)``, kept, of crowded bands that hold texts of several groups."""
+    rooted = rows.select("key", "node").join(roots, "node", "left").withColumn("root", F.coalesce("root", "node"))
+    bands = rooted.groupBy("key").agg(F.count("*").alias("n"), F.min("root").alias("least"), F.max("root").alias("most"))
+    open_ = bands.filter((F.col("n") > NEXT + 2) & (F.col("least") < F.col("most"))).select("key")
+    return keep(rooted.join(open_, "key").select("node", "root").distinct(), "similar-mixed")
+
+
+def _rest(mixed: DataFrame, sets: DataFrame) -> DataFrame:
+    """Pairs of ``mixed`` of different groups that may be similar enough: none that is, is left out.
+
+    Of two sets of a similarity of 0.8, each shares 0.8 of itself at least, so the first 0.2 of
+    both (``first``), in one order of all shingles, have one in common. In the order of
+    frequency these are mostly shingles that a text has for itself, and most texts do not meet.
+    Where two do, the places of what they share and their marks bound how similar they are."""
+    each = mixed.join(sets, "node").select("node", "root", F.size("found").alias("n"), F.explode("found").alias("shingle"))
+    often = each.groupBy("shingle").agg(F.count("*").alias("often"))
+    place = F.row_number().over(Window.partitionBy("node").orderBy("often", "shingle"))
+    first = F.col("n") - F.ceil(SIMILARITY * F.col("n") - SLACK) + 1
+    placed = each.join(often, "shingle").withColumn("place", place).filter((F.col("place") <= first) & (F.col("often") > 1))
+    prefixes = keep(placed.drop("often"), "similar-prefixes")
+    words = [F.get("marks", F.lit(w)).alias(f"m{w}") for w in range(MARKS)]
+    placed = prefixes.join(mixed.join(sets, "node").select("node", *words), "node")
+    # Of two groups one at least is not the most frequent one with that shingle.
+    most = prefixes.groupBy("shingle", "root").agg(F.count("*").alias("n")).groupBy("shingle")
+    most = most.agg(F.count("*").alias("groups"), F.max(F.struct("n", "root")).alias("m")).filter("groups > 1").select("shingle", F.col("m.root").alias("main"))
+    told = keep(placed.join(most, "shingle").withColumn("odd", F.col("root") != F.col("main")).drop("main"), "similar-told")
+    once = ~F.col("y.odd") | (F.col("x.node") < F.col("y.node"))
+    both = F.least("x.place", "y.place") + F.least(F.col("x.n") - F.col("x.place"), F.col("y.n") - F.col("y.place"))
+    enough = both >= SIMILARITY / (1 + SIMILARITY) * (F.col("x.n") + F.col("y.n")) - SLACK
+    apart = reduce(add, [F.bit_count(F.col(f"x.m{w}").bitwiseXOR(F.col(f"y.m{w}"))) for w in range(MARKS)])
+    enough &= apart <= (1 - SIMILARITY) / (1 + SIMILARITY) * (F.col("x.n") + F.col("y.n")) + SLACK
+    same = (F.col("x.shingle") == F.col("y.shingle")) & (F.col("x.root") != F.col("y.root"))
+    pairs = keep(_pairs(told.filter("odd").alias("x").join(told.alias("y"), same & once & enough)), "similar-rest")
+    forget(prefixes, told)
+    return pairs
+
+
+def _merged(roots: DataFrame, links: DataFrame) -> DataFrame:
+    """``roots``, kept, after further ``links`` of texts, some of which were in no group yet."""
+    root_of = lambda c: roots.select(F.col("node").alias(c), F.col("root").alias(f"{c}_root"))
+    linked = links.join(root_of("a"), "a", "left").join(root_of("b"), "b", "left")
+    linked = keep(linked.select("a", "b", F.coalesce("a_root", "a").alias("x"), F.coalesce("b_root", "b").alias("y")), "similar-linked")
+    merged = components(linked.select(F.col("x").alias("a"), F.col("y").alias("b")), "similar-components")
+    merged = keep(merged.select(F.col("node").alias("root"), F.col("root").alias("whole")), "similar-merged")
+    alone = linked.select(F.col("a").alias("node")).unionByName(linked.select(F.col("b").alias("node"))).distinct()
+    every = roots.unionByName(alone.join(roots, "node", "left_anti").withColumn("root", F.col("node")))
+    return keep(every.join(merged, "root", "left").select("node", F.coalesce("whole", "root").alias("root")), "similar-groups")
+
+
 def groups(docs: DataFrame) -> DataFrame:
     """Rows ``(node, root)``, kept: the texts (by ``node_of``) that have a near copy, and the
     smallest node that links reach. A text without one is left out."""
@@ -159,7 +221,7 @@ def groups(docs: DataFrame) -> DataFrame:
     placed = keep(placed, "similar-rows")
     close = keep(_by_pivots(sketches.select("node", "f0")), "similar-close")
     wanted = met.select("node").unionByName(close.select(F.col("a").alias("node"))).unionByName(close.select(F.col("b").alias("node"))).distinct()
-    sets = by_batch(texts.join(wanted, "node", "left_semi"), _sets, "node long, found array<long>").dropDuplicates(["node"])
+    sets = by_batch(texts.join(wanted, "node", "left_semi"), _sets, f"node long, found {longs}, marks {longs}").dropDuplicates(["node"])
     sets = keep(sets, "similar-sets")
 
     def follow(rows: DataFrame, steps: range) -> DataFrame:
@@ -181,14 +243,11 @@ def groups(docs: DataFrame) -> DataFrame:
     hubs = rows.join(sizes, "root", "left").groupBy("key").agg(largest).select("key", *[f"y.{c}" for c in columns])
     with_hub = rows.alias("x").join(hubs.alias("y"), (F.col("x.key") == F.col("y.key")) & _worth())
     second = _verified(_pairs(with_hub).unionByName(_pairs(follow(rows, range(2, NEXT + 2)))).distinct(), sets)
-    forget(rows, sets)
-
-    # Links between groups (or texts that are in none yet), then the groups of groups.
-    root_of = lambda c: roots.select(F.col("node").alias(c), F.col("root").alias(f"{c}_root"))
-    linked = second.join(root_of("a"), "a", "left").join(root_of("b"), "b", "left")
-    linked = keep(linked.select("a", "b", F.coalesce("a_root", "a").alias("x"), F.coalesce("b_root", "b").alias("y")), "similar-linked")
-    merged = components(linked.select(F.col("x").alias("a"), F.col("y").alias("b")), "similar-components")
-    merged = keep(merged.select(F.col("node").alias("root"), F.col("root").alias("whole")), "similar-merged")
-    alone = linked.select(F.col("a").alias("node")).unionByName(linked.select(F.col("b").alias("node"))).distinct()
-    every = roots.unionByName(alone.join(roots, "node", "left_anti").withColumn("root", F.col("node")))
-    return keep(every.join(merged, "root", "left").select("node", F.coalesce("whole", "root").alias("root")), "similar-groups")
+    found = _merged(roots, second)
+
+    # What crowded bands have left.
+    mixed = _mixed(rows, found)
+    if not mixed.isEmpty():
+        found = _merged(found, _verified(_rest(mixed, sets), sets))
+    forget(rows, sets, mixed)
+    return found

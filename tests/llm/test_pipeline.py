@@ -5,6 +5,8 @@ import os
 import random
 from pathlib import Path
 
+import numpy as np
+
 import corpus_pipeline
 from terrace.llm import similar, toxicity
 from terrace.llm.common import table
@@ -96,6 +98,40 @@ def test_pairs_of_loosely_similar_texts_stay_in_proportion(spark, monkeypatch):
     assert sum(verified) < 400 * similar.BANDS * 3
 
 
+def test_crowded_bands_lose_no_link(spark, monkeypatch):
+    """In each of some crowds of loosely similar texts two are linked, which have no noise in common."""
+    monkeypatch.setattr(similar, "NEXT", 1)
+    monkeypatch.setattr(similar, "BANDS", 4)
+    rng, texts, want = random.Random(11), [], []
+    for _ in range(3):
+        base = [f"w{rng.randrange(10**6)}" for _ in range(150)]
+        first = len(texts)
+        for i in range(200):
+            other = list(base)
+            for k in range(max(2 - i, 0) or 5):
+                other[25 * k + 10 + rng.randrange(10)] = f"x{rng.randrange(10**6)}"
+            texts.append(" ".join(other))
+        want += [[first + i for i in g] for g in plain_groups(texts[first:])]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    roots = {r.node: r.root for r in similar.groups(docs).collect()}
+    got = {}
+    for r in docs.select("doc_id", similar.node_of("text").alias("node")).collect():
+        got.setdefault(roots.get(r.node, r.node), []).append(r.doc_id)
+    assert sorted(map(sorted, got.values())) == want and sum(len(g) > 1 for g in want) >= 3
+
+
+def test_marks_differ_in_no_more_bits_than_sets_in_shingles():
+    rng = random.Random(3)
+    words = [f"w{i}" for i in range(3000)]
+    for n in (0, 1, 4, 40, 400, 3000):
+        other = list(words[:n])
+        for _ in range(n // 20):
+            other[rng.randrange(n)] = "x"
+        a, b = (similar.shingles(" ".join(t).encode()) for t in (words[:n], other))
+        bits = int(np.bitwise_count((similar.marks(a) ^ similar.marks(b)).view(np.uint64)).sum())
+        assert bits <= len(np.setxor1d(a, b)) and (bits > 0) == (len(np.setxor1d(a, b)) > 0)
+
+
 def test_dedup_by_text_not_by_id(spark):
     a = " ".join(f"a{i}" for i in range(40))
     near, b, c = a + " end", "another text of its own words", "a third text of its own words"
