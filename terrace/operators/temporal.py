@@ -7,11 +7,10 @@ from collections.abc import Sequence
 from functools import reduce
 from operator import and_
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from terrace.operators.skew import PIECE, PIECE_ROWS, axis_of, cut, hot_ranges, neighbours
-from terrace.sources.places import shared_dir
 
 EXPLODE_STEP = 10_000
 # Mean window over the median one from which on windows count as of mixed length.
@@ -62,6 +61,18 @@ def valid_to(
     return near.withColumn(name, F.coalesce(F.col(name), F.col(end))) if end else near
 
 
+def unrolled(df: DataFrame, first: Column, last: Column, name: str) -> DataFrame:
+    """A row for each number from ``first`` to ``last``, as ``name``. Many are unrolled in steps, so
+    no row ever holds a huge array."""
+    return (
+        df.select("*", first.alias("_first"), last.alias("_last"))
+        .withColumn("_from", F.explode(F.sequence("_first", "_last", F.lit(EXPLODE_STEP))))
+        .withColumn("_to", F.least(F.col("_last"), F.col("_from") + EXPLODE_STEP - 1))
+        .withColumn(name, F.explode(F.sequence("_from", "_to")))
+        .drop("_first", "_last", "_from", "_to")
+    )
+
+
 def range_join(
     left: DataFrame,
     right: DataFrame,
@@ -92,15 +103,7 @@ def range_join(
         width = 2.0 ** math.ceil(math.log2(mean)) if mean else 1.0
     elif micros:
         width *= 1_000_000
-    # A very long window is unrolled in steps, so no row ever holds a huge array.
-    first, last = F.floor(lo / width), F.floor(hi / width)
-    binned = (
-        windows.select("*", first.alias("_first"), last.alias("_last"))
-        .withColumn("_from", F.explode(F.sequence("_first", "_last", F.lit(EXPLODE_STEP))))
-        .withColumn("_to", F.least(F.col("_last"), F.col("_from") + EXPLODE_STEP - 1))
-        .withColumn("_bin", F.explode(F.sequence("_from", "_to")))
-        .drop("_first", "_last", "_from", "_to")
-    )
+    binned = unrolled(windows, F.floor(lo / width), F.floor(hi / width), "_bin")
     l, r = left.withColumn("_bin", F.floor(at / width)).alias("l"), binned.alias("r")
     match = F.col("l._bin") == F.col("r._bin")
     for k in on:
@@ -112,13 +115,17 @@ def range_join(
     )
 
 
+def level_of(length: Column, unit: float) -> Column:
+    """The lowest level whose cells are not narrower than ``length``."""
+    return F.greatest(F.ceil(F.log(length / unit) / math.log(LEVEL)).cast("int"), F.lit(0))
+
+
 def binned_by_level(windows: DataFrame, start: str, end: str, unit: float) -> DataFrame:
     """Windows on the cells they touch at the level of their length: ``_level`` and ``_cell``, at
     most two rows per window. Cells of level ``n`` are ``unit * LEVEL**n`` wide, not narrower
     than its windows; level 0 also holds all shorter windows."""
     lo, hi = axis_of(windows, start), axis_of(windows, end)
-    steps = F.ceil(F.log((hi - lo) / unit) / math.log(LEVEL)).cast("int")
-    cells = windows.withColumn("_level", F.greatest(steps, F.lit(0)))
+    cells = windows.withColumn("_level", level_of(hi - lo, unit))
     size = F.lit(unit) * F.pow(F.lit(LEVEL), F.col("_level"))
     return cells.withColumn("_cell", F.explode(F.sequence(F.floor(lo / size), F.floor(hi / size))))
 
@@ -128,35 +135,41 @@ def level_join(
 ) -> DataFrame:
     """:func:`range_join` for windows of very mixed length, by a grid for each level of length.
 
-    A window is put on one or two cells of its own level; a row looks on every level that has
-    windows, the number of which grows with the logarithm of their lengths. So a row meets
-    windows that are about as long as the cell it looks in, whatever others there are. Rows
-    that find no window are added after the join: ``left`` is numbered and written once for it.
+    A window is put on one or two cells of its own level. A row is looked up on the levels on
+    which it has windows, and only there: those where the latest end of the windows that have
+    started is after it. For that, rows and ends of windows go by time bins once; a bin is as wide
+    as the mean window, so a window is in under three of them on average. A row meets windows
+    that are about as long as the cell it looks in, whatever others there are, and looks that
+    find nothing are not shuffled.
     """
     windows = right.filter(F.col(start) < F.col(end))
-    length = axis_of(windows, end) - axis_of(windows, start)
-    shortest = windows.agg(F.percentile_approx(length, 0.1)).first()[0]
+    lo, hi, at = axis_of(windows, start), axis_of(windows, end), axis_of(left, t)
+    shortest, mean = windows.agg(F.percentile_approx(hi - lo, 0.1), F.avg(hi - lo)).first()
+    added = [c for c in right.columns if c not in on]
     if shortest is None:  # no window at all
-        nothing = [F.lit(None).cast(right.schema[c].dataType).alias(c) for c in right.columns if c not in on]
+        nothing = [F.lit(None).cast(right.schema[c].dataType).alias(c) for c in added]
         return left.select("*", *nothing) if how == "left" else left.select("*", *nothing).limit(0)
-    unit = float(shortest)
+    unit, width = float(shortest), 2.0 ** math.ceil(math.log2(mean))
     binned = binned_by_level(windows, start, end, unit)
     levels = sorted(r[0] for r in binned.select("_level").distinct().collect())  # a few dozen at most
-    if how == "left":
-        shared_dir(left.sparkSession)
-        rows = left.withColumn("_row", F.monotonically_increasing_id()).checkpoint()
-    else:
-        rows = left.withColumn("_row", F.lit(0))
+
+    keys = [*on, "_bin"]
+    rows = left.select(*on, F.floor(at / width).alias("_bin"), F.col(t).alias("_t"), F.struct(*left.columns).alias("_l"))
+    ends = windows.select(*on, F.col(start).alias("_t"), F.col(end).alias("_end"), level_of(hi - lo, unit).alias("_level"), lo.alias("_lo"), hi.alias("_hi"))
+    ends = unrolled(ends, F.floor(F.col("_lo") / width), F.floor(F.col("_hi") / width), "_bin").drop("_lo", "_hi")
+    before = Window.partitionBy(*keys).orderBy("_t").rangeBetween(Window.unboundedPreceding, Window.currentRow)
+    latest = [F.max(F.when(F.col("_level") == n, F.col("_end"))).over(before) for n in levels]
+    keyed = reduce(and_, [F.col(k).isNotNull() for k in on], F.lit(True))
+    has = F.array(*[F.when(keyed & (F.col(f"_e{n}") > F.col("_t")), F.lit(n)) for n in levels])
+    told = rows.unionByName(ends, allowMissingColumns=True).select("*", *[e.alias(f"_e{n}") for n, e in zip(levels, latest, strict=True)])
+    told = told.filter("_l IS NOT NULL").select(*on, "_t", "_l", F.array_compact(has).alias("_levels"))
+
+    looks = told.select(*on, "_t", "_l", (F.explode_outer if how == "left" else F.explode)("_levels").alias("_level"))
     size = F.lit(unit) * F.pow(F.lit(LEVEL), F.col("_level"))
-    looks = rows.withColumn("_level", F.explode(F.array(*map(F.lit, levels)))).withColumn("_cell", F.floor(axis_of(left, t) / size))
+    looks = looks.withColumn("_cell", F.floor(axis_of(looks, "_t") / size))
     match = reduce(and_, [F.col(f"l.{k}") == F.col(f"r.{k}") for k in [*on, "_level", "_cell"]])
-    match &= (F.col(f"l.{t}") >= F.col(f"r.{start}")) & (F.col(f"l.{t}") < F.col(f"r.{end}"))
-    added = [c for c in right.columns if c not in on]
-    found = looks.alias("l").join(binned.alias("r"), match).select("l._row", *[F.col(f"l.{c}") for c in left.columns], *[F.col(f"r.{c}") for c in added])
-    if how != "left":
-        return found.drop("_row")
-    lone = rows.join(found.select("_row").distinct(), "_row", "left_anti")
-    return found.unionByName(lone, allowMissingColumns=True).drop("_row")
+    match &= (F.col("l._t") >= F.col(f"r.{start}")) & (F.col("l._t") < F.col(f"r.{end}"))
+    return looks.alias("l").join(binned.alias("r"), match, how).select("l._l.*", *[F.col(f"r.{c}") for c in added])
 
 
 def asof_join(

@@ -39,6 +39,32 @@ def test_rows_per_window_are_bounded(spark):
     assert temporal.LEVEL == 4.0
 
 
+def shuffled(plan):
+    """Rows that the exchanges of an executed plan have written."""
+    if plan.nodeName().startswith("AdaptiveSparkPlan"):
+        return shuffled(plan.executedPlan())
+    if "QueryStage" in plan.nodeName():
+        return shuffled(plan.plan())
+    own = plan.metrics().apply("shuffleRecordsWritten").value() if plan.nodeName() == "Exchange" else 0
+    return own + sum(shuffled(plan.children().apply(i)) for i in range(plan.children().size()))
+
+
+def test_rows_are_looked_up_on_levels_with_windows_only(spark):
+    """Eight lengths of windows: a row is shuffled for what it finds, not for each of them."""
+    rng = random.Random(4)
+    windows = [(i % 20, s := rng.uniform(0, 1e6), s + 10.0 ** (i % 8 - 2)) for i in range(800)]
+    rows = [(i % 20, rng.uniform(0, 1e6)) for i in range(4000)]
+    l, r = spark.createDataFrame(rows, "g int, t double"), spark.createDataFrame(windows, "g int, s double, e double")
+    limit = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", -1)
+    try:
+        joined = level_join(l, r, ["g"], "t", "s", "e")
+        found = len(joined.collect())
+        assert shuffled(joined._jdf.queryExecution().executedPlan()) <= 2 * len(rows) + found + 6 * len(windows)
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", limit)
+
+
 def test_variant_records_and_leaves(spark, rows):
     bodies = [
         ('{"a": {"b c": [{"x": 1, "y": {"z": [true, null, "t"]}}, {"other": 1.5}, 7, null]}}', 1),
