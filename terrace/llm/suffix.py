@@ -51,7 +51,16 @@ PLACE_BITS = 21
 _BASE = np.uint64(0x9E3779B97F4A7C15)
 _INVERSE = np.uint64(pow(int(_BASE), -1, 1 << 64))
 _PLACE = np.uint64((1 << PLACE_BITS) - 1)
-_tables: dict[str, np.ndarray] = {}
+
+
+class _Tables(dict):
+    """Arrays that each process makes for itself: empty when sent to tasks."""
+
+    def __reduce__(self):
+        return _Tables, ()
+
+
+_tables = _Tables()
 
 
 def _powers() -> tuple[np.ndarray, np.ndarray]:
