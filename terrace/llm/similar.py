@@ -11,13 +11,16 @@ hashes of them in ``BANDS`` bands of ``ROWS``. Candidate pairs come from both:
    of further min-wise hashes, in which texts that agree on more of them stand closer, so a
    crowded band is deepened by itself. Each row is compared with the next one; in a second
    round, with the member of the band's largest group and with ``NEXT`` more that follow it. A
-   band of up to ``NEXT + 2`` texts is compared in full; pairs rise with the rows, never with the
-   square of a band.
+   band of up to ``NEXT + 2`` texts is compared in full; the pairs of both rounds rise with the
+   rows, never with the square of a band.
 
 Pairs of one group already are left out of the second round, as are pairs whose fingerprints
 differ in more than ``MOST_BITS`` (of two texts at a similarity of 0.8, three in a thousand do).
 What is left is verified on the whole shingle sets, so nothing unverified is linked. Groups of
 the second round are found among those of the first, not among all texts again.
+
+A band of more than ``NEXT + 2`` texts that still holds several groups is not left at that: its
+texts are compared in full, without the fingerprints (``_rest``), by bounds that lose nothing.
 """
 
 from __future__ import annotations
