@@ -64,7 +64,14 @@ def _powers(base: np.uint64, n: int) -> np.ndarray:
     return np.multiply.accumulate(out)
 
 
-_tables: dict[str, np.ndarray] = {}
+class _Tables(dict):
+    """Arrays that each process makes for itself: empty when sent to tasks."""
+
+    def __reduce__(self):
+        return _Tables, ()
+
+
+_tables = _Tables()
 
 
 def _both_powers(n: int) -> tuple[np.ndarray, np.ndarray]:
